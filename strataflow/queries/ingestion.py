@@ -72,20 +72,18 @@ def explode_items(land: Landing) -> DataFrame:
     ("order_lines",),
 )
 def flatten_orders(land: Landing) -> DataFrame:
-    flat = land.spark.table(_flat_table(land))
+    flat = land.spark.table(load_flat(land))
     return flat.withColumns(
         {"has_time": F.col("ingestion_timestamp").isNotNull(), "has_file": F.col("source_file").isNotNull()}
     ).drop("ingestion_timestamp", "source_file")
 
 
-def _flat_table(land: Landing) -> str:
-    def load() -> str:
-        name = land.new_table("order_items")
-        landed = land.json_orders().withColumn("source_file", F.col("_metadata.file_name"))
-        loads.full_load(add_audit(flows.flatten_orders(landed), "web", "json_1"), name)
-        return name
-
-    return land.once("table:order_items", load)
+def load_flat(land: Landing) -> str:
+    """Nested files to an audited line table; the file name is captured at the scan."""
+    name = land.new_table("order_items")
+    landed = land.json_orders().withColumn("source_file", F.col("_metadata.file_name"))
+    loads.full_load(add_audit(flows.flatten_orders(landed), "web", "json_1"), name)
+    return name
 
 
 @query(
@@ -97,7 +95,7 @@ def _flat_table(land: Landing) -> str:
     ("order_lines",),
 )
 def nested_topk(land: Landing) -> DataFrame:
-    totals = land.spark.table(_flat_table(land)).groupBy("customer_nation", "category").agg(
+    totals = land.spark.table(land.once("table:order_items", lambda: load_flat(land))).groupBy("customer_nation", "category").agg(
         F.count(F.lit(1)).alias("n_items"), F.round(money_sum("item_amount"), 2).alias("total_amount")
     )
     return shaping.top_k(totals, 10, F.col("total_amount").desc(), F.col("customer_nation"), F.col("category"))
@@ -207,16 +205,17 @@ def column_allowlist(land: Landing) -> DataFrame:
 def extracted_table(land: Landing) -> str:
     """Snapshot of day one, then what day two brought above the watermark."""
 
-    def load() -> str:
-        name = land.new_table("crm_extract")
-        first = jdbc.read_federated(land.spark, federated(land, "source_day1"), BUSINESS)
-        loads.full_load(add_audit(first, "crm", "snapshot"), name)
-        second = jdbc.read_federated(land.spark, federated(land, "source_day2"), BUSINESS)
-        newer = loads.newer_than(second, land.spark.table(name), "modified_on")
-        loads.append_load(add_audit(newer, "crm", "increment"), name)
-        return name
+    return land.once("table:crm_extract", lambda: load_extract(land))
+
 
-    return land.once("table:crm_extract", load)
+def load_extract(land: Landing) -> str:
+    name = land.new_table("crm_extract")
+    first = jdbc.read_federated(land.spark, federated(land, "source_day1"), BUSINESS)
+    loads.full_load(add_audit(first, "crm", "snapshot"), name)
+    second = jdbc.read_federated(land.spark, federated(land, "source_day2"), BUSINESS)
+    newer = loads.newer_than(second, land.spark.table(name), "modified_on")
+    loads.append_load(add_audit(newer, "crm", "increment"), name)
+    return name
 
 
 DAYS = ("source_day1", "source_day2")
@@ -230,7 +229,7 @@ EXTRACT = (
 
 @query("watermark_extract", f"{EXTRACT} SELECT * FROM extract", DAYS)
 def watermark_extract(land: Landing) -> DataFrame:
-    return land.spark.table(extracted_table(land)).drop("ingestion_timestamp", "source_system")
+    return land.spark.table(load_extract(land)).drop("ingestion_timestamp", "source_system")
 
 
 @query(

@@ -12,6 +12,7 @@ from strataflow.operators import aggregates, dedup, joins, quality, shaping
 from strataflow.plans import loads
 from strataflow.queries.landing import Landing
 from strataflow.queries.registry import query
+from strataflow.session import scratch_path
 from strataflow.sources import files
 
 SALES = ("sales",)
@@ -43,12 +44,13 @@ def table_scan(land: Landing) -> DataFrame:
 
 
 def sales_table(land: Landing) -> str:
-    def load() -> str:
-        name = land.new_table("sales")
-        loads.full_load(land.sales(), name)
-        return name
+    return land.once("table:sales", lambda: load_sales(land))
 
-    return land.once("table:sales", load)
+
+def load_sales(land: Landing) -> str:
+    name = land.new_table("sales")
+    loads.full_load(land.sales(), name)
+    return name
 
 
 @query(
@@ -70,14 +72,9 @@ def audit_as_flags(df: DataFrame) -> DataFrame:
 
 @query("write_path", "SELECT * FROM sales", SALES)
 def write_path(land: Landing) -> DataFrame:
-    def write() -> str:
-        from strataflow.session import scratch_path
-
-        path = scratch_path(land.spark, "sales_parquet")
-        loads.write_path(land.sales(), path)
-        return path
-
-    return land.spark.read.parquet(land.once("path:sales", write))
+    path = scratch_path(land.spark, "sales_parquet")
+    loads.write_path(land.sales(), path)
+    return land.spark.read.parquet(path)
 
 
 @query(
@@ -211,14 +208,15 @@ def batches(land: Landing) -> list[DataFrame]:
 
 
 def appended_table(land: Landing) -> str:
-    def load() -> str:
-        name = land.new_table("orders")
-        first, second = batches(land)
-        loads.full_load(first, name)
-        loads.append_load(second, name)
-        return name
+    return land.once("table:orders", lambda: load_batches(land))
+
 
-    return land.once("table:orders", load)
+def load_batches(land: Landing) -> str:
+    name = land.new_table("orders")
+    first, second = batches(land)
+    loads.full_load(first, name)
+    loads.append_load(second, name)
+    return name
 
 
 @query(
@@ -227,7 +225,7 @@ def appended_table(land: Landing) -> str:
     BATCHES,
 )
 def incremental_append(land: Landing) -> DataFrame:
-    return land.spark.table(appended_table(land)).drop("ingestion_timestamp", "source_file", "source_system")
+    return land.spark.table(load_batches(land)).drop("ingestion_timestamp", "source_file", "source_system")
 
 
 @query(
