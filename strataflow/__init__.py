@@ -2,12 +2,10 @@
 
 from pyspark import cloudpickle
 
-from strataflow.sources import files as _files
 from strataflow.sources import paged as _paged
 
-# Code that runs inside executors travels with the job, so workers need no
-# installed copy of this package.
-for _module in (_files, _paged):
-    cloudpickle.register_pickle_by_value(_module)
+# The reader that runs inside executors travels with the job, so workers need
+# no installed copy of this package.
+cloudpickle.register_pickle_by_value(_paged)
 
 __version__ = "0.1.0"

@@ -9,6 +9,8 @@ the unmatched rows, whose other side is only a set of distinct keys.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,13 +35,21 @@ def unmatched(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFra
 
 
 def outer_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """``left``, ``right`` or ``full`` outer join on shared key columns."""
-    result = inner_join(left, right, keys)
+    """``left``, ``right`` or ``full`` outer join on shared key columns.
+
+    Rows with a NULL key match nothing and skip the join; that also gives the
+    inner and the unmatched part the same input, so its shuffle is done once.
+    """
+    if how not in ("left", "right", "full"):
+        raise ValueError(f"not an outer join: {how}")
+    keyed = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    left_keyed, right_keyed = left.filter(keyed), right.filter(keyed)
+    parts = [inner_join(left_keyed, right_keyed, keys)]
     if how in ("left", "full"):
-        result = result.unionByName(unmatched(left, right, keys), allowMissingColumns=True)
+        parts += [unmatched(left_keyed, right_keyed, keys), left.filter(~keyed)]
     if how in ("right", "full"):
-        result = result.unionByName(unmatched(right, left, keys), allowMissingColumns=True)
-    return result
+        parts += [unmatched(right_keyed, left_keyed, keys), right.filter(~keyed)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def left_join_where(

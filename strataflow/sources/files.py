@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -14,7 +15,7 @@ from pyspark.sql.types import StructType
 SOURCE_PATH = "_source_path"
 SOURCE_FILE = "_source_file"
 
-_ONE_TERABYTE = str(1 << 40)
+HEADER_JOBS = 16
 
 
 def read_csv(
@@ -52,25 +53,14 @@ def inventory(spark: SparkSession, path: str, glob: str | None = None) -> DataFr
 
 
 def csv_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
-    """First line of each file, keyed by path.
+    """First line of each file, keyed by path; files without a line are absent.
 
-    One file per task and one Arrow batch per file: a task stops at the first
-    line, so the cost follows the number of files, not their size.
+    One small job per file stops at its first record, so the cost follows the
+    number of files, not their size; several run at a time.
     """
-    head = spark.newSession()
-    head.conf.set("spark.sql.files.maxPartitionBytes", _ONE_TERABYTE)
-    head.conf.set("spark.sql.files.openCostInBytes", _ONE_TERABYTE)
-    head.conf.set("spark.sql.files.minPartitionNum", "1")
-    head.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    lines = head.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), "value")
-    return {r.path: r.value for r in lines.mapInArrow(_first_row, lines.schema).collect()}
-
-
-def _first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            yield batch.slice(0, 1)
-            return
+    with ThreadPoolExecutor(HEADER_JOBS) as pool:
+        first = pool.map(inheritable_thread_target(spark)(lambda p: spark.read.text(p).first()), paths)
+        return {path: row.value for path, row in zip(paths, first) if row is not None}
 
 
 def header_groups(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> dict[tuple[str, ...], list[str]]:

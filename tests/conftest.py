@@ -1,0 +1,55 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from strataflow.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
+    session = build_session(
+        "local[8]",
+        **{
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": str(shared / "checkpoint"),
+            "spark.sql.warehouse.dir": str(shared / "warehouse"),
+        },
+    )
+    session.sparkContext.setLogLevel("OFF")
+    session.sql(f"CREATE DATABASE lab LOCATION '{shared / 'lab'}'")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def name(request):
+    """A table name of the test's own."""
+    return "lab." + "".join(c if c.isalnum() else "_" for c in request.node.name)
+
+
+@pytest.fixture
+def put(tmp_path):
+    """Write a text file below the test's folder and return that folder's path."""
+
+    def write(path: str, text: str) -> str:
+        target = tmp_path / path
+        target.parent.mkdir(parents=True, exist_ok=True)
+        target.write_text(text)
+        return str(target)
+
+    return write
+
+
+def rows(df, *columns):
+    """Rows as a sorted list of tuples, NULL first."""
+    chosen = df.select(*columns) if columns else df
+    return sorted((tuple(r) for r in chosen.collect()), key=lambda r: [(v is not None, str(type(v)), v) for v in r])

@@ -1,0 +1,146 @@
+from __future__ import annotations
+
+import json
+import time
+
+import pytest
+
+from strataflow.plans.ledger import LedgerTable
+from strataflow.streaming.autoload import AutoLoad, SinkSchemaError, UnknownFieldError
+from tests.conftest import rows
+
+
+@pytest.fixture
+def stream(spark, tmp_path, name):
+    (tmp_path / "land").mkdir()
+    return AutoLoad(
+        spark, str(tmp_path / "land"), name, str(tmp_path / "checkpoint"), str(tmp_path / "schema"),
+        hints="event_id INT, user_id INT, product_id INT", source_system="app",
+    )
+
+
+LOT1 = "event_id,user_id,product_id,kind\n1,10,5,click\n2,11,6,view\n"
+LOT3 = "event_id,device,user_id,product_id,kind\n3,ios,12,7,click\n"
+LOT4 = "event_id,device,user_id,product_id,kind\n4,web,guest,7,click\n5,web,13,8,view\n6,web,guest,9,view\n"
+
+
+def test_drain_pins_types_and_does_not_read_twice(stream, put):
+    put("land/lot1.csv", LOT1)
+    query = stream.drain()
+    assert not query.isActive
+    found = stream.read()
+    assert found.columns == [
+        "event_id", "user_id", "product_id", "kind", "_rescued_data", "ingestion_timestamp", "source_system",
+    ]
+    assert [t for _, t in found.dtypes][:4] == ["int", "int", "int", "string"]
+    assert rows(found, "event_id", "user_id", "kind") == [(1, 10, "click"), (2, 11, "view")]
+    stream.drain()
+    assert stream.read().count() == 2
+
+
+def test_new_column_stops_the_stream_until_restarted(stream, put):
+    # E8, E9
+    put("land/lot1.csv", LOT1)
+    stream.drain()
+    put("land/lot3.csv", LOT3)
+    with pytest.raises(UnknownFieldError, match="device"):
+        stream.drain()
+    assert stream.read().count() == 2
+    assert stream.schema_log.latest()[-1] == "device" and len(stream.schema_log.versions()) == 2
+    with pytest.raises(SinkSchemaError, match="device"):
+        stream.drain()
+    assert "device" not in stream.read().columns
+    stream.merge_schema = True
+    stream.drain()
+    assert rows(stream.read(), "event_id", "user_id", "device") == [(1, 10, None), (2, 11, None), (3, 12, "ios")]
+    stream.merge_schema = False
+    put("land/lot3b.csv", LOT3.replace("3,ios", "7,mac"))
+    stream.drain()
+    assert stream.read().count() == 4
+
+
+def test_value_of_wrong_type_is_rescued(stream, put):
+    # E10
+    put("land/lot4.csv", LOT4)
+    stream.drain()
+    kept = stream.read().filter("_rescued_data IS NOT NULL")
+    assert rows(kept, "event_id", "user_id") == [(4, None), (6, None)]
+    for row in kept.collect():
+        rescued = json.loads(row._rescued_data)
+        assert rescued.pop("_file_path").endswith("lot4.csv") and rescued == {"user_id": "guest"}
+    assert rows(stream.read().filter("_rescued_data IS NULL"), "event_id") == [(5,)]
+
+
+def test_a_file_that_lacks_a_known_column(stream, put):
+    put("land/lot3.csv", LOT3)
+    stream.drain()
+    put("land/lot1.csv", LOT1)
+    stream.drain()
+    assert rows(stream.read(), "event_id", "device") == [(1, None), (2, None), (3, "ios")]
+
+
+def test_header_case_does_not_make_a_new_column(stream, put):
+    put("land/lot1.csv", LOT1)
+    stream.drain()
+    put("land/lot2.csv", LOT1.replace("event_id", "EVENT_ID").replace("1,10", "8,10").replace("2,11", "9,11"))
+    stream.drain()
+    assert rows(stream.read(), "event_id") == [(1,), (2,), (8,), (9,)]
+
+
+def test_periodic_stream_runs_until_stopped(stream, put):
+    # E11
+    put("land/lot1.csv", LOT1)
+    query = stream.start(processingTime="1 second")
+    try:
+        query.processAllAvailable()
+        assert query.isActive and stream.read().count() == 2
+        put("land/lot2.csv", LOT1.replace("1,10", "8,10").replace("2,11", "9,11"))
+        query.processAllAvailable()
+        assert stream.read().count() == 4
+        time.sleep(2.5)
+        assert query.isActive
+        assert sum(p.numInputRows for p in query.recentProgress) == 2  # files, one a batch
+    finally:
+        query.stop()
+    assert not query.isActive
+    assert rows(stream.batches()) == [(0, 2, 1), (1, 2, 1)]
+
+
+def test_files_per_trigger_cuts_batches(stream, put):
+    for i in range(3):
+        put(f"land/f{i}.csv", LOT1)
+    stream.max_files = 1
+    stream.drain()
+    assert rows(stream.batches()) == [(0, 2, 1), (1, 2, 1), (2, 2, 1)]
+
+
+def test_replayed_batch_is_not_written_twice(stream, put, tmp_path):
+    put("land/lot1.csv", LOT1)
+    stream.drain()
+    for file in (tmp_path / "checkpoint" / "commits").iterdir():
+        file.unlink()  # as if the stream had died before it noted the batch
+    stream.drain()
+    assert stream.read().count() == 2
+
+
+def test_crash_between_data_and_commit_is_replayed(stream, put, monkeypatch):
+    put("land/lot1.csv", LOT1)
+    stream.drain()
+    put("land/lot2.csv", LOT1.replace("1,10", "8,10").replace("2,11", "9,11"))
+    with monkeypatch.context() as broken:
+        broken.setattr(LedgerTable, "_commit", lambda *a, **k: 1 / 0)
+        with pytest.raises(Exception, match="division"):
+            stream.drain()
+    assert stream.read().count() == 2
+    stream.drain()
+    assert rows(stream.read(), "event_id") == [(1,), (2,), (8,), (9,)]
+
+
+def test_reset_reads_everything_again(stream, put):
+    put("land/lot1.csv", LOT1)
+    stream.drain()
+    stream.reset()
+    assert not stream.sink.exists() and stream.schema_log.latest() is None
+    put("land/lot3.csv", LOT3)
+    stream.drain()
+    assert rows(stream.read(), "event_id", "device") == [(1, None), (2, None), (3, "ios")]
