@@ -269,20 +269,20 @@ ROWS = "order_id, order_date, customer_id, status, priority, amount"
 
 
 class OrderLoad:
-    """A fresh target and a landing folder to which order files are added."""
+    """A fresh target and the landing folders that have received files so far."""
 
     def __init__(self, land: Landing):
         self.land = land
-        self.folder = scratch_path(land.spark, "orders_landing")
+        self.folders: list[str] = []
         self.table = LedgerTable(land.spark, land.new_table("orders")).create(ORDER_TABLE)
         self.affected: list[int] = []
 
     def arrive(self, name: str) -> OrderLoad:
-        write_csv(self.land.rows(name), f"{self.folder}/{name}")
+        self.folders.append(self.land.csv(name))
         return self
 
     def copy(self, **options) -> OrderLoad:
-        self.affected.append(self.table.copy_into(self.folder, ORDER_SELECT, **options).num_affected_rows)
+        self.affected.append(self.table.copy_into(self.folders, ORDER_SELECT, **options).num_affected_rows)
         return self
 
     def rows(self) -> DataFrame:

@@ -10,11 +10,28 @@ from pyspark.sql import SparkSession
 _LOCAL_ROOTS: dict[str, str] = {}
 
 
-def build_session(master: str | None = None, app: str = "strataflow", **conf: str) -> SparkSession:
+PARTITION_BYTES = 256 * 1024 * 1024
+MAX_PARTITIONS = 100_000
+
+
+def shuffle_partitions(shuffled_bytes: int, cores: int) -> int:
+    """Partitions for a shuffle of that size, about 256 MB each and at least one
+    per core. AQE merges those that turn out small, but cannot add any."""
+    wanted = -(-shuffled_bytes // PARTITION_BYTES)
+    return min(max(wanted, cores), MAX_PARTITIONS)
+
+
+def build_session(
+    master: str | None = None,
+    app: str = "strataflow",
+    shuffled_bytes: int | None = None,
+    cores: int = 1,
+    **conf: str,
+) -> SparkSession:
     """A session with the settings the library counts on; ``conf`` overrides.
 
-    Shuffle partitions stay at the cluster's value: AQE merges small ones and
-    splits skewed ones at run time.
+    ``shuffled_bytes``, the largest shuffle to expect, sets the partitions AQE
+    starts from; without it the cluster's own value stays.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -26,6 +43,8 @@ def build_session(master: str | None = None, app: str = "strataflow", **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
+    if shuffled_bytes is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(shuffled_bytes, cores))
     settings.update(conf)
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -16,6 +16,7 @@ SOURCE_PATH = "_source_path"
 SOURCE_FILE = "_source_file"
 
 HEADER_JOBS = 16
+ONE_PETABYTE = str(1 << 50)
 
 
 def read_csv(
@@ -44,12 +45,20 @@ def with_source(df: DataFrame) -> DataFrame:
     )
 
 
-def inventory(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Files below a landing folder: path, length, modificationTime. No content is read."""
+def inventory(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
+    """Files below landing folders: path, length, modificationTime. No content is read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select("path", "length", "modificationTime")
+    return reader.load(_listed(path)).select("path", "length", "modificationTime")
+
+
+def listing_session(spark: SparkSession) -> SparkSession:
+    """A session whose scans are cut by cores alone. Listing opens no file, so
+    the usual limit of bytes per task would only make needless tasks."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", ONE_PETABYTE)
+    return session
 
 
 def csv_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strataflow import schemas
 from strataflow.functions.audit import add_audit, batch_label
 from strataflow.operators import shaping
+from strataflow.session import shuffle_partitions
 from strataflow.sources import files, jdbc, paged, records
 from tests.conftest import rows
 
@@ -100,6 +101,12 @@ def test_payload_round_trip(spark, tmp_path):
     assert rows(records.parse_payload(landed, schemas.contract("id BIGINT, name STRING"))) == [(1, None), (2, "b")]
 
 
+def test_shuffle_partitions_follow_the_data():
+    assert shuffle_partitions(0, 64) == 64
+    assert shuffle_partitions(1 << 40, 64) == 4096
+    assert shuffle_partitions(100 << 40, 8000) == 100_000
+
+
 # Paged API
 
 class Script:
