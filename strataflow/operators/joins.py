@@ -63,20 +63,14 @@ def left_join_where(
     return outer_join(left, right.filter(right_condition), keys, "left")
 
 
-def broadcast_if_small(
+def fits_broadcast(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
-) -> DataFrame:
-    """Hint a broadcast only for a side measured to be within both limits.
-
-    The measuring stops after ``max_rows + 1`` rows. A larger side comes back
-    without a hint and is joined by shuffle.
-    """
-    rows, size = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)))
-        .first()
-    )
-    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
+) -> bool:
+    """Whether a side was measured to be within both limits; the measuring stops
+    after ``max_rows + 1`` rows."""
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    found = df.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
+    return found[0] <= max_rows and found[1] <= max_bytes
 
 
 def lookup_join(
@@ -86,8 +80,11 @@ def lookup_join(
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Left join to a reference table, by broadcast where its size allows."""
-    return left.join(broadcast_if_small(reference, max_rows, max_bytes), list(keys), "left")
+    """Left join to a reference table: by broadcast where its size allows, else by
+    shuffle."""
+    if fits_broadcast(reference, max_rows, max_bytes):
+        return left.join(F.broadcast(reference), list(keys), "left")
+    return outer_join(left, reference, keys, "left")
 
 
 def cross_join(left: DataFrame, right: DataFrame, max_rows: int = MAX_CROSS_ROWS) -> DataFrame:

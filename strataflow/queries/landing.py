@@ -256,8 +256,9 @@ def fold_orders(landing: Landing) -> DataFrame:
     """One document per order with its items nested.
 
     A document holds at most ``ITEMS_PER_DOCUMENT`` items: an order with more
-    lines arrives as several documents, cut by position in the scanned files, so
-    that no task ever has to hold all lines of a huge order.
+    lines arrives as several documents, cut by position in the scanned files. The
+    repartition spreads these; without it the partitioning of the join by order
+    alone would be taken over, and one task would fold all lines of a huge order.
     """
     position = F.monotonically_increasing_id()
     lines = (
@@ -275,7 +276,9 @@ def fold_orders(landing: Landing) -> DataFrame:
     items = (
         lines.join(parts, lines.l_partkey == parts.p_partkey)
         .join(large, "l_orderkey", "left")
-        .groupBy("l_orderkey", document.alias("document"))
+        .withColumn("document", document)
+        .repartition("l_orderkey", "document")
+        .groupBy("l_orderkey", "document")
         .agg(
             F.collect_list(
                 F.struct(

@@ -177,6 +177,35 @@ def test_outer_join_with_a_hot_key_on_both_sides(spark):
     assert rows(found) == [(1000 * 20 + 2000 + 40, 1000 * 20 + 2000, 1000 * 20 + 40)]
 
 
+def test_a_hot_key_is_split_on_the_side_a_plain_outer_join_cannot_split(spark, tmp_path):
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    try:
+        spark.range(0, 60_000, 1, 8).select(
+            F.when(F.col("id") < 30_000, 7).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("y")
+        ).write.parquet(str(tmp_path / "right"))
+        right = spark.read.parquet(str(tmp_path / "right"))
+        left = spark.range(20_000).select(F.col("id").alias("k"), F.col("id").alias("x"))
+        plain = left.join(right, "k", "left")
+        split = joins.outer_join(left, right, ["k"], "left")
+        counted = []
+        for df in (plain, split):
+            df.write.format("noop").mode("overwrite").save()
+            counted.append(len(df.collect()))
+        assert "skew=true" not in plan(plain) and "skew=true" in plan(split)
+        assert counted[0] == counted[1] == 30_000 + 19_999
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_outer_join_shuffles_its_kept_side_once(spark, name):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
