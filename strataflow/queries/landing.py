@@ -7,6 +7,7 @@ queries read what was landed, the oracle SQL starts from the same text.
 from __future__ import annotations
 
 import uuid
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -154,6 +155,7 @@ def oracle_ctes(*names: str) -> str:
 
 
 _MEMO: dict[tuple[str, str, str], object] = {}
+_LOCK = RLock()
 
 
 class Landing:
@@ -171,9 +173,10 @@ class Landing:
 
     def once(self, key: str, make):
         memo = (self.spark.sparkContext.applicationId, self.sf_dir, key)
-        if memo not in _MEMO:
-            _MEMO[memo] = make()
-        return _MEMO[memo]
+        with _LOCK:
+            if memo not in _MEMO:
+                _MEMO[memo] = make()
+            return _MEMO[memo]
 
     def csv(self, name: str) -> str:
         """Folder with the input as CSV files with headers."""

@@ -54,9 +54,12 @@ def inventory(spark: SparkSession, path: str | Sequence[str], glob: str | None =
 
 
 def listing_session(spark: SparkSession) -> SparkSession:
-    """A session whose scans are cut by cores alone. Listing opens no file, so
-    the usual limit of bytes per task would only make needless tasks."""
+    """A like session whose scans are cut by cores alone. Listing opens no file,
+    so the usual limit of bytes per task would only make needless tasks."""
     session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if not key.startswith("spark.") or (key.startswith("spark.sql.") and spark.conf.isModifiable(key)):
+            session.conf.set(key, value)
     session.conf.set("spark.sql.files.maxPartitionBytes", ONE_PETABYTE)
     return session
 

@@ -53,6 +53,20 @@ def test_inventory_reads_no_content(spark, put, tmp_path):
     assert "content" not in found._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
 
 
+def test_listing_session_keeps_settings_and_packs_files(spark, put, tmp_path):
+    spark.conf.set("fs.example.key", "secret")
+    spark.conf.set("spark.sql.session.timeZone", "America/Lima")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        session = files.listing_session(spark)
+        assert session.conf.get("fs.example.key") == "secret"
+        assert session.conf.get("spark.sql.session.timeZone") == "America/Lima"
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.conf.unset("fs.example.key")
+
+
 def test_nested_json_flattens_and_explodes(spark, put):
     # E7: the grain moves from order to item; no items, no rows
     orders = [
