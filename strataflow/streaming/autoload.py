@@ -133,7 +133,9 @@ class AutoLoad:
     # One micro-batch
 
     def _load_batch(self, batch: DataFrame, batch_id: int) -> None:
-        if self._is_loaded(batch_id):
+        # Spark's id of the stream, which a new checkpoint changes.
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if self.sink.exists() and batch_id <= self.sink.last_batch(query_id):
             return
         paths = [r.path for r in batch.collect()]  # at most max_files
         groups = files.header_groups(self.spark, paths, str(self.options.get("sep", ",")))
@@ -142,19 +144,9 @@ class AutoLoad:
         columns = self._resolve(groups)
         text = files.read_csv_groups(self.spark, groups, columns, **self.options)
         typed = self._typed(text, columns)
-        if self.source_system is not None:
-            typed = add_audit(typed, self.source_system)
-        else:
-            typed = add_audit(typed)
+        typed = add_audit(typed, self.source_system)
         self._match_sink(typed.schema)
-        self.sink.write(typed, STREAM, paths, {"batchId": str(batch_id), "checkpoint": self.checkpoint})
-
-    def _is_loaded(self, batch_id: int) -> bool:
-        if not self.sink.exists():
-            return False
-        metric = F.col("operationMetrics")
-        same = (metric["batchId"] == str(batch_id)) & (metric["checkpoint"] == self.checkpoint)
-        return not self.sink.history().filter(same).isEmpty()
+        self.sink.write(typed, STREAM, paths, {"batchId": str(batch_id), "queryId": query_id})
 
     def _resolve(self, groups: dict[tuple[str, ...], list[str]]) -> list[str]:
         stored = self.schema_log.latest()

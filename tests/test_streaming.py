@@ -6,6 +6,7 @@ import time
 import pytest
 
 from strataflow.plans.ledger import LedgerTable
+from strataflow.session import delete_path
 from strataflow.streaming.autoload import AutoLoad, SinkSchemaError, UnknownFieldError
 from tests.conftest import rows
 
@@ -128,7 +129,7 @@ def test_crash_between_data_and_commit_is_replayed(stream, put, monkeypatch):
     stream.drain()
     put("land/lot2.csv", LOT1.replace("1,10", "8,10").replace("2,11", "9,11"))
     with monkeypatch.context() as broken:
-        broken.setattr(LedgerTable, "_commit", lambda *a, **k: 1 / 0)
+        broken.setattr(LedgerTable, "_append_log", lambda *a, **k: 1 / 0)
         with pytest.raises(Exception, match="division"):
             stream.drain()
     assert stream.read().count() == 2
@@ -136,6 +137,28 @@ def test_crash_between_data_and_commit_is_replayed(stream, put, monkeypatch):
     assert rows(stream.read(), "event_id") == [(1,), (2,), (8,), (9,)]
 
 
+def test_crash_before_publication_is_replayed_once(stream, put, monkeypatch):
+    put("land/lot1.csv", LOT1)
+    stream.drain()
+    put("land/lot2.csv", LOT1.replace("1,10", "8,10").replace("2,11", "9,11"))
+    with monkeypatch.context() as broken:
+        broken.setattr(LedgerTable, "_publish", lambda *a, **k: 1 / 0)
+        with pytest.raises(Exception, match="division"):
+            stream.drain()
+    stream.drain()
+    put("land/lot5.csv", LOT1)
+    stream.drain()
+    assert rows(stream.read(), "event_id") == [(1,), (1,), (2,), (2,), (8,), (9,)]
+
+
+def test_losing_the_checkpoint_alone_loads_everything_again(stream, put, spark):
+    put("land/lot1.csv", LOT1)
+    stream.drain()
+    delete_path(spark, stream.checkpoint)
+    stream.drain()
+    assert rows(stream.read(), "event_id") == [(1,), (1,), (2,), (2,)]
+
+
 def test_reset_reads_everything_again(stream, put):
     put("land/lot1.csv", LOT1)
     stream.drain()
