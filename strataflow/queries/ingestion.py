@@ -132,7 +132,7 @@ def api_timestamps(land: Landing) -> DataFrame:
 def records_to_df(land: Landing) -> DataFrame:
     """A small reply as driver-side records: one per brand, of which there are few."""
     reply = aggregates.counts_by(land.rows("api_products"), ["brand"], "products")
-    found = [row.asDict() for row in reply.collect()]
+    found = (row.asDict() for row in reply.toLocalIterator())
     return records.from_records(land.spark, found, schemas.contract("brand STRING NOT NULL, products BIGINT"))
 
 

@@ -105,6 +105,8 @@ def test_records_enforce_not_null_and_fill_absent_keys(spark):
     assert rows(records.from_records(spark, [{"id": 1, "extra": 2}], schema)) == [(1, None)]
     with pytest.raises(PySparkException):
         records.from_records(spark, [{"name": "x"}], schema).collect()
+    with pytest.raises(ValueError):
+        records.from_records(spark, ({"id": i} for i in range(3)), schema, max_records=2)
 
 
 def test_payload_round_trip(spark, tmp_path):
@@ -195,13 +197,27 @@ def crm(spark):
     return options
 
 
+def sizes(df):
+    return [r[1] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
 def test_jdbc_subquery_is_split_into_ranges(spark, crm):
     found = jdbc.read_query(spark, crm, "CRM", ["ID", "NAME"], split_on="ID", partitions=4)
-    assert found.rdd.getNumPartitions() == 4
-    assert found.columns == ["ID", "NAME"] and found.count() == 100
-    small = jdbc.read_query(spark, crm, "CRM", ["ID"], where="ID < 1", split_on="ID")
-    assert rows(small) == [(0,)]
+    assert found.rdd.getNumPartitions() == 4 and max(sizes(found)) <= 26
+    assert found.columns == ["ID", "NAME"] and rows(found.select("ID")) == [(i,) for i in range(100)]
+    small = jdbc.read_query(spark, crm, "CRM", ["ID"], where="ID < 1 OR ID = 50", split_on="ID")
+    assert rows(small) == [(0,), (50,)]
     assert jdbc.read_query(spark, crm, "CRM", ["ID"], where="ID < 0", split_on="ID").isEmpty()
+    assert jdbc.read_query(spark, crm, "CRM", ["NAME"], split_on="ID").count() == 100
+
+
+def test_jdbc_ranges_follow_the_rows_not_the_key_span(spark, crm):
+    data = [(i,) for i in range(1000)] + [(10_000_000,), (-5,), (None,), (None,)]
+    spark.createDataFrame(data, "K BIGINT").write.format("jdbc").options(**crm).option(
+        "dbtable", "UNEVEN").mode("overwrite").save()
+    found = jdbc.read_query(spark, crm, "UNEVEN", ["K"], split_on="K", partitions=4)
+    assert rows(found) == sorted(data, key=lambda r: (r[0] is not None, r[0] or 0))
+    assert found.rdd.getNumPartitions() >= 4 and max(sizes(found)) < 400
 
 
 def test_federated_scan_pushes_filter_columns_and_max(spark, crm):
