@@ -67,10 +67,11 @@ def fits_broadcast(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> bool:
     """Whether a side was measured to be within both limits; the measuring stops
-    after ``max_rows + 1`` rows."""
-    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
-    found = df.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
-    return found[0] <= max_rows and found[1] <= max_bytes
+    after ``max_rows + 1`` rows. The size counts the values as text and a fixed
+    word per column."""
+    text = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), text).first()
+    return rows <= max_rows and size + rows * 8 * (len(df.columns) + 1) <= max_bytes
 
 
 def lookup_join(

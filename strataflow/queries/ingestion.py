@@ -190,7 +190,7 @@ def jdbc_subquery_scan(land: Landing) -> DataFrame:
     ("source_day1",),
 )
 def federated_catalog_scan(land: Landing) -> DataFrame:
-    rows = jdbc.read_federated(land.spark, federated(land, "source_day1"), BUSINESS)
+    rows = jdbc.read_federated(land.spark, federated(land, "source_day1"), BUSINESS, split_on="customer_id")
     return rows.filter((F.col("balance") > 5000) & (F.col("segment") == "BUILDING")).select(
         "customer_id", "name", "balance"
     )
@@ -198,7 +198,9 @@ def federated_catalog_scan(land: Landing) -> DataFrame:
 
 @query("column_allowlist", f"SELECT {', '.join(BUSINESS)} FROM source_day1", ("source_day1",))
 def column_allowlist(land: Landing) -> DataFrame:
-    source = land.spark.table(federated(land, "source_day1"))
+    source = jdbc.read_federated(
+        land.spark, federated(land, "source_day1"), [*BUSINESS, *SECRET], split_on="customer_id"
+    )
     return shaping.allow_columns(source, BUSINESS, denied=SECRET)
 
 
@@ -210,9 +212,9 @@ def extracted_table(land: Landing) -> str:
 
 def load_extract(land: Landing) -> str:
     name = land.new_table("crm_extract")
-    first = jdbc.read_federated(land.spark, federated(land, "source_day1"), BUSINESS)
+    first = jdbc.read_federated(land.spark, federated(land, "source_day1"), BUSINESS, split_on="customer_id")
     loads.full_load(add_audit(first, "crm", "snapshot"), name)
-    second = jdbc.read_federated(land.spark, federated(land, "source_day2"), BUSINESS)
+    second = jdbc.read_federated(land.spark, federated(land, "source_day2"), BUSINESS, split_on="customer_id")
     newer = loads.newer_than(second, land.spark.table(name), "modified_on")
     loads.append_load(add_audit(newer, "crm", "increment"), name)
     return name

@@ -41,6 +41,8 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # A landing task writes one file: fewer and larger ones than by default.
+        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     if shuffled_bytes is not None:

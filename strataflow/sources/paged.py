@@ -8,6 +8,7 @@ pages need not be known.
 from __future__ import annotations
 
 import json
+import re
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -79,7 +80,8 @@ class FileTransport:
     def __call__(self, page: int) -> tuple[int, str]:
         from pyarrow import fs
 
-        system, path = fs.FileSystem.from_uri(self.root)
+        root = self.root.replace("file:/", "file:///", 1) if re.match("file:/[^/]", self.root) else self.root
+        system, path = fs.FileSystem.from_uri(root)
         entries = system.get_file_info(fs.FileSelector(f"{path}/page={page}", allow_not_found=True))
         bodies = []
         for entry in entries:

@@ -167,6 +167,14 @@ def test_http_request_carries_page_size_and_token():
     assert signed.build(3).get_header("Authorization") == "Bearer t"
 
 
+def test_landed_pages_are_found_by_any_form_of_path(put, tmp_path):
+    put("api/page=0/part.txt", '{"id": 1}\n{"id": 2}\n')
+    put("api/page=0/_SUCCESS", "")
+    for root in (f"{tmp_path}/api", f"file:{tmp_path}/api", f"file://{tmp_path}/api"):
+        assert json.loads(paged.FileTransport(root)(0)[1]) == [{"id": 1}, {"id": 2}]
+        assert paged.FileTransport(root)(1) == (200, "[]")
+
+
 @pytest.mark.parametrize("partitions", [1, 3, 8])
 def test_all_pages_are_read_once(spark, put, tmp_path, partitions):
     for page in range(5):
@@ -222,7 +230,9 @@ def test_jdbc_ranges_follow_the_rows_not_the_key_span(spark, crm):
 
 def test_federated_scan_pushes_filter_columns_and_max(spark, crm):
     jdbc.register_catalog(spark, "crmtest", crm)
-    found = jdbc.read_federated(spark, "crmtest.APP.CRM", ["ID", "NAME"]).filter("ID > 97")
+    whole = jdbc.read_federated(spark, "crmtest.APP.CRM", ["ID", "NAME"], split_on="ID", partitions=4)
+    assert whole.rdd.getNumPartitions() == 4 and whole.count() == 100
+    found = whole.filter("ID > 97")
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PASSWORD_HASH" not in plan and "ID > 97" in plan.split("PushedFilters")[1]
     assert rows(found.select("ID")) == [(98,), (99,)]
