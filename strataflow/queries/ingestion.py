@@ -101,6 +101,20 @@ def nested_topk(land: Landing) -> DataFrame:
     return shaping.top_k(totals, 10, F.col("total_amount").desc(), F.col("customer_nation"), F.col("category"))
 
 
+@query(
+    "averages",
+    "SELECT category, AVG(quantity) AS avg_quantity, MIN(quantity) AS min_quantity, MAX(quantity) AS max_quantity "
+    "FROM order_lines GROUP BY category",
+    ("order_lines",),
+)
+def averages(land: Landing) -> DataFrame:
+    items = land.spark.table(land.once("table:order_items", lambda: load_flat(land)))
+    return items.groupBy("category").agg(
+        F.avg("quantity").alias("avg_quantity"), F.min("quantity").alias("min_quantity"),
+        F.max("quantity").alias("max_quantity"),
+    )
+
+
 # API payloads
 
 API = ("api_products",)
