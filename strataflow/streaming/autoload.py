@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from strataflow import schemas
 from strataflow.functions.audit import add_audit
@@ -170,7 +170,7 @@ class AutoLoad:
         rescued = {c: self._misfit(c) for c in hinted}
         rescue = F.lit(None).cast("string")
         if rescued:
-            any_misfit = F.coalesce(*[v for v in rescued.values()]).isNotNull()
+            any_misfit = F.coalesce(*rescued.values()).isNotNull()
             fields = [v.alias(c) for c, v in rescued.items()] + [F.col(files.SOURCE_PATH).alias("_file_path")]
             rescue = F.when(any_misfit, F.to_json(F.struct(*fields)))
         return text.select(
@@ -196,4 +196,4 @@ class AutoLoad:
         if added and not self.merge_schema:
             raise SinkSchemaError(f"columns the target lacks: {', '.join(f.name for f in added)}")
         if added:
-            self.sink.add_columns(StructType([StructField(f.name, f.dataType or StringType()) for f in added]))
+            self.sink.add_columns(StructType(added))
