@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.operators.aggregates import high_watermark
 
 
-def full_load(df: DataFrame, table: str) -> None:
-    """Replace the table."""
-    df.write.mode("overwrite").saveAsTable(table)
+def full_load(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
+    """Replace the table. Partition columns of few values, such as the batch, let
+    later reads skip files; they become the last columns."""
+    df.write.mode("overwrite").saveAsTable(table, partitionBy=list(partition_by) or None)
 
 
-def append_load(df: DataFrame, table: str) -> None:
+def append_load(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
     """Add rows without looking for duplicates: a second run adds them again."""
-    df.write.mode("append").saveAsTable(table)
+    df.write.mode("append").saveAsTable(table, partitionBy=list(partition_by) or None)
 
 
 def write_path(df: DataFrame, path: str, format: str = "parquet") -> None:

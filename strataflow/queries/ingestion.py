@@ -138,8 +138,38 @@ def raw_payload_landing(land: Landing) -> DataFrame:
 )
 def api_timestamps(land: Landing) -> DataFrame:
     landed = files.read_json(land.spark, land.api_pages(), schemas.PRODUCTS_API)
-    local = F.to_timestamp("updated_at").cast("timestamp_ntz")
-    return landed.select("id", F.convert_timezone(None, F.lit("UTC"), local).alias("updated_at"))
+    return landed.withColumn("updated_at", F.to_timestamp("updated_at")).select("id", _in_utc("updated_at").alias("updated_at"))
+
+
+@query(
+    "api_increment",
+    """, snapshot AS (SELECT id, CAST(replace(replace(updated_at, 'T', ' '), 'Z', '') AS TIMESTAMP) AS updated_at
+    FROM api_products), poll AS (SELECT id, CAST(replace(replace(updated_at, 'T', ' '), 'Z', '') AS TIMESTAMP)
+    AS updated_at FROM api_products_later)
+    SELECT 'poll_1' AS batch_id, COUNT(*) AS n_rows, MIN(updated_at) AS min_updated_at, MAX(updated_at) AS max_updated_at
+    FROM snapshot UNION ALL SELECT 'poll_2', COUNT(*), MIN(updated_at), MAX(updated_at) FROM poll
+    WHERE updated_at > (SELECT MAX(updated_at) FROM snapshot)""",
+    ("api_products", "api_products_later"),
+)
+def api_increment(land: Landing) -> DataFrame:
+    """Snapshot of the API, then what a later poll brought above the watermark."""
+    name = land.new_table("products")
+    loads.full_load(add_audit(_polled(land, "api_products"), "api", "poll_1"), name, partition_by=["batch_id"])
+    newer = loads.newer_than(_polled(land, "api_products_later"), land.spark.table(name), "updated_at")
+    loads.append_load(add_audit(newer, "api", "poll_2"), name, partition_by=["batch_id"])
+    found = aggregates.compare_batches(land.spark.table(name), ["batch_id"], "updated_at")
+    return found.withColumns({c: _in_utc(c) for c in ("min_updated_at", "max_updated_at")})
+
+
+def _polled(land: Landing, name: str) -> DataFrame:
+    pages = paged.FileTransport(land.api_pages(name))
+    found = paged.read_pages(land.spark, pages, schemas.contract(schemas.PRODUCTS_API), name=name)
+    return found.withColumn("updated_at", F.to_timestamp("updated_at"))
+
+
+def _in_utc(column: str):
+    """The moment as UTC wall-clock time, whatever the session's zone."""
+    return F.convert_timezone(None, F.lit("UTC"), F.col(column).cast("timestamp_ntz"))
 
 
 @query("records_to_df", "SELECT brand, COUNT(*) AS products FROM api_products GROUP BY brand", API)

@@ -135,14 +135,21 @@ INPUTS["source_day2"] = _SOURCE.format(
     modified="CASE WHEN c_acctbal >= 9000 THEN DATE '2024-03-01' ELSE DATE '2024-01-01' + c_nationkey END"
 )
 
-INPUTS["api_products"] = """
+_PRODUCT = """
 SELECT p_partkey AS id, p_name AS name, p_brand AS brand, p_type AS kind, p_size AS size,
        p_retailprice AS price,
        CASE WHEN p_size < 10 THEN NULL ELSE concat('size ', CAST(p_size AS STRING)) END AS note,
-       concat('2024-01-', CASE WHEN p_size < 10 THEN '0' ELSE '' END,
-              CAST(CASE WHEN p_size > 28 THEN 28 ELSE p_size END AS STRING), 'T06:30:00Z') AS updated_at
-FROM {part}
+       {updated} AS updated_at
+FROM {{part}}
 """
+_DAY = """concat('2024-01-', CASE WHEN p_size < 10 THEN '0' ELSE '' END,
+              CAST(CASE WHEN p_size > 28 THEN 28 ELSE p_size END AS STRING), 'T06:30:00Z')"""
+
+# Replies of a product API, and those of a later poll, when large products had changed.
+INPUTS["api_products"] = _PRODUCT.format(updated=_DAY)
+INPUTS["api_products_later"] = _PRODUCT.format(
+    updated=f"CASE WHEN p_size >= 40 THEN '2024-02-10T18:00:00Z' ELSE {_DAY} END"
+)
 PAGE_SIZE = 500
 
 ITEMS_PER_DOCUMENT = 64
@@ -198,19 +205,19 @@ class Landing:
 
         return self.once("nested_orders", land)
 
-    def api_pages(self) -> str:
+    def api_pages(self, name: str = "api_products") -> str:
         """Folder with API replies, ``page=<n>`` holding one JSON record a line."""
 
         def land() -> str:
-            path = scratch_path(self.spark, "api_pages")
+            path = scratch_path(self.spark, name)
             page = F.floor(F.col("id") / PAGE_SIZE).cast("bigint")
-            payload = self.rows("api_products").select(
+            payload = self.rows(name).select(
                 F.to_json(F.struct("*")).alias("payload"), page.alias("page")
             )
             records.land_payload(payload.repartition("page"), path, by="page")
             return path
 
-        return self.once("api_pages", land)
+        return self.once(f"pages:{name}", land)
 
     def database(self) -> str:
         """A database of this session's own, stored in the shared folder."""

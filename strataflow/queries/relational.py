@@ -214,8 +214,8 @@ def appended_table(land: Landing) -> str:
 def load_batches(land: Landing) -> str:
     name = land.new_table("orders")
     first, second = batches(land)
-    loads.full_load(first, name)
-    loads.append_load(second, name)
+    loads.full_load(first, name, partition_by=["batch_id"])
+    loads.append_load(second, name, partition_by=["batch_id"])
     return name
 
 
