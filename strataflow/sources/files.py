@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -71,7 +72,7 @@ def csv_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
     number of files, not their size; several run at a time.
     """
     with ThreadPoolExecutor(HEADER_JOBS) as pool:
-        first = pool.map(inheritable_thread_target(spark)(lambda p: spark.read.text(p).first()), paths)
+        first = pool.map(inheritable_thread_target(spark)(lambda p: spark.read.text(literal(p)).first()), paths)
         return {path: row.value for path, row in zip(paths, first) if row is not None}
 
 
@@ -100,11 +101,16 @@ def read_csv_groups(
     parts = []
     for names, paths in groups.items():
         text = ", ".join(f"`{name}` STRING" for name in names)
-        part = with_source(read_csv(spark, paths, text, enforceSchema=False, **options))
+        part = with_source(read_csv(spark, [literal(p) for p in paths], text, enforceSchema=False, **options))
         parts.append(part.select(*[F.col(f"`{n}`").alias(known.get(n.lower(), n)) for n in names],
                                  SOURCE_PATH, SOURCE_FILE))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def literal(path: str) -> str:
+    """A listed path as a reader argument: marks that would be patterns are escaped."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def _listed(path: str | Sequence[str]) -> str | list[str]:
     return path if isinstance(path, str) else list(path)

@@ -26,7 +26,7 @@ LOT4 = "event_id,device,user_id,product_id,kind\n4,web,guest,7,click\n5,web,13,8
 
 
 def test_drain_pins_types_and_does_not_read_twice(stream, put):
-    put("land/lot1.csv", LOT1)
+    put("land/lot 1[a].csv", LOT1)
     query = stream.drain()
     assert not query.isActive
     found = stream.read()
