@@ -10,6 +10,7 @@ import pytest
 
 import __spark_entry__ as contract
 from strataflow.queries.landing import TABLES, Landing, fold_orders
+from strataflow.queries.registry import ORACLES, QUERIES
 from strataflow.session import scratch_root
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -25,10 +26,10 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("key", sorted(contract.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query(spark, duck, key):
     df = contract.queries()[key](spark, SF_DIR)
     cursor = duck.execute(contract.oracle_sql()[key])
