@@ -6,11 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import bpe, simhash
+from strataflow.llm import bpe, licenses, linededup, mixing, multiset, secrets, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secrets": secrets.op2_secrets,
+    "op3_licenses": licenses.op3_licenses,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_bpe": bpe.op5_bpe,
+    "op6_mixing": mixing.op6_mixing,
+    "op7_multiset": multiset.op7_multiset,
     "op9_simhash": simhash.op9_simhash,
+    "op10_line_dedup": linededup.op10_line_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+#: Queries whose rows SQL can give on whole tables; the tests compare the others
+#: with brute-force versions.
+ORACLES: dict[str, str] = {
+    "op3_licenses": licenses.SQL,
+    "op6_mixing": mixing.SQL,
+    "op7_multiset": multiset.SQL,
+    "op10_line_dedup": linededup.SQL,
+}
