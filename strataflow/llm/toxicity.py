@@ -17,17 +17,22 @@ CATEGORIES = (("low_quality", "quality = 0"), ("toxic", "toxic = 1"))
 #: Labelled rows the models are fitted on at most; the ones of least hash are taken.
 TRAIN_ROWS = 20_000
 VOCABULARY = 1 << 15
-MIN_DOCUMENTS = 5
-PREFIX = 5
+MIN_DOCUMENTS = 3
+PREFIXES = (4, 5)
 FOLDS = 3
-THRESHOLD = 0.5
+THRESHOLD = 0.4
+ITERATIONS = 30
+PENALTY = 5e-4
 
 
 def terms(text: Column) -> Column:
     """Words in lower case and the beginnings of longer words, which catch inflections."""
     found = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    long = F.filter(found, lambda w: F.length(w) > PREFIX)
-    return F.concat(found, F.transform(long, lambda w: F.concat(F.lit("^"), F.substring(w, 1, PREFIX))))
+    starts = (
+        F.transform(F.filter(found, lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.lit("^"), F.substring(w, 1, n)))
+        for n in PREFIXES
+    )
+    return F.concat(found, *starts)
 
 
 def _fit(rows: DataFrame, label: str, features: str):
@@ -36,7 +41,7 @@ def _fit(rows: DataFrame, label: str, features: str):
     if positive in (0, total):
         return positive / total if total else 0.0
     return LogisticRegression(
-        featuresCol=features, labelCol=label, maxIter=40, regParam=5e-4, elasticNetParam=1.0,
+        featuresCol=features, labelCol=label, maxIter=ITERATIONS, regParam=PENALTY, elasticNetParam=1.0,
         predictionCol="_class", rawPredictionCol="_margin", probabilityCol="_probability",
     ).fit(rows)
 
@@ -112,7 +117,8 @@ def fit_chain(
     if rows.count() >= 20 * MIN_DOCUMENTS:
         vectorizer = vectorizer.setMinDF(float(MIN_DOCUMENTS))
     vectorizer = vectorizer.fit(rows)
-    rows = vectorizer.transform(rows).drop("_terms").repartition(rows.sparkSession.sparkContext.defaultParallelism).persist()
+    # the sample is bounded, and with few partitions a step of the fit is one short stage
+    rows = vectorizer.transform(rows).drop("_terms").repartition(4).persist()
     models, features = [], "_features"
     for i, name in enumerate(names):
         models.append(_fit(rows, f"y_{name}", features))
