@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -19,8 +20,9 @@ from strataflow.llm.common import documents
 RANKS = "byte_bpe_50k.tiktoken"
 #: Bytes of text a task encodes at once, unless one text alone has more.
 CHUNK_BYTES = 4 << 20
-#: Words whose ids a task remembers. A full memory starts anew; ids do not depend on it.
-MEMORY_WORDS = 400_000
+#: Words whose ids a Python worker remembers from task to task. A full memory starts
+#: anew; ids do not depend on it.
+MEMORY_WORDS = 1_000_000
 
 _MERGE = """
 WITH RECURSIVE state(word, pos, token) USING KEY (word, pos) AS (
@@ -64,8 +66,14 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+@lru_cache(1)
+def codec_for(path: str, pattern: str) -> Codec:
+    """The worker's own codec; Spark gives the next task to the same Python worker."""
+    return Codec(path, pattern)
+
+
 class Codec:
-    """One task's DuckDB connection with the merge table and the vocabulary.
+    """A worker's DuckDB connection with the merge table and the vocabulary.
 
     The rank of a pair is the rank of the token it makes, so the merge table holds
     every split of every token into two tokens.
@@ -182,7 +190,7 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
     at = columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path, pattern)
+        codec = codec_for(path, pattern)
         for batch in _chunks(batches, at):
             yield _with(batch, ids, _lists(codec.encode(batch.column(at).to_pylist())))
 
@@ -198,9 +206,8 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -
     at = columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = None
+        codec = codec_for(path, public_tokenizers.PATTERN)
         for batch in batches:
-            codec = codec or Codec(path, public_tokenizers.PATTERN)
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 lists = [None if x is None else np.array(x, "<u4").tobytes() for x in part.column(at).to_pylist()]
@@ -211,6 +218,25 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -
     return source.mapInArrow(run, schema)
 
 
+def encode_checked(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """``encode``, and a column ``round_trip``: whether the decoded ids are the text
+    (null for a null text)."""
+    columns = [c for c in docs.columns if c not in ("ids", "round_trip")]
+    source = docs.select(*columns)
+    schema = source.select("*", F.lit(None).cast("array<int>").alias("ids"), F.lit(None).cast("boolean").alias("round_trip")).schema
+    at = columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = codec_for(path, pattern)
+        for batch in _chunks(batches, at):
+            texts = batch.column(at).to_pylist()
+            encoded = codec.encode(texts)
+            same = [None if t is None else d == t.encode() for t, d in zip(texts, codec.decode(encoded))]
+            yield _with(_with(batch, "ids", _lists(encoded)), "round_trip", pa.array(same, pa.bool_()))
+
+    return source.mapInArrow(run, schema)
+
+
 def _with(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, values], [*batch.schema.names, name])
 
@@ -224,12 +250,10 @@ def _lists(encoded: list[bytes | None]) -> pa.Array:
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Encode and decode every text (null as empty) in one pass and keep their digests."""
-    import hashlib
-
     source = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path, public_tokenizers.PATTERN)
+        codec = codec_for(path, public_tokenizers.PATTERN)
         for batch in _chunks(batches, 1):
             encoded = codec.encode(batch.column(1).to_pylist())
             yield pa.record_batch({
