@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,3 +56,26 @@ def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     moved = edges.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+
+
+def forest(a: np.ndarray, b: np.ndarray):
+    """Each node linked to the smallest of its component: at most one link a node."""
+    if not len(a):
+        return a, b
+    nodes, where = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = where[:len(a)], where[len(a):]
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[x], root[y])
+        new = root.copy()
+        np.minimum.at(new, root[x], low)
+        np.minimum.at(new, root[y], low)
+        np.minimum.at(new, x, low)
+        np.minimum.at(new, y, low)
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    linked = root != np.arange(len(nodes))
+    return nodes[linked], nodes[root[linked]]

@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import bpe, licenses, linededup, mixing, multiset, secrets, simhash, toxicity
+from strataflow.llm import bpe, hnsw, katz, licenses, linededup, mixing, multiset, secrets, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_katz": katz.op1_katz,
     "op2_secrets": secrets.op2_secrets,
     "op3_licenses": licenses.op3_licenses,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_bpe": bpe.op5_bpe,
     "op6_mixing": mixing.op6_mixing,
     "op7_multiset": multiset.op7_multiset,
+    "op8_hnsw": hnsw.op8_hnsw,
     "op9_simhash": simhash.op9_simhash,
     "op10_line_dedup": linededup.op10_line_dedup,
 }

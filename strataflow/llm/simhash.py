@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.llm.common import documents, words, written
-from strataflow.llm.components import connected_components
+from strataflow.llm.components import connected_components, forest
 
 SHINGLE = 3
 RADIUS = 3
@@ -157,15 +157,15 @@ def near_edges(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
         kept: list[np.ndarray] = []
         for group, stored, prints in _whole_groups(batches):
             a, b = _compare(group, stored, prints, radius)
-            a, b = _forest(a, b)
+            a, b = forest(a, b)
             kept.append((a, b))
             if sum(len(x) for x, _ in kept) > 1 << 20:
-                kept = [_forest(*map(np.concatenate, zip(*kept)))]
+                kept = [forest(*map(np.concatenate, zip(*kept)))]
                 if len(kept[0][0]) > 1 << 19:
                     yield pa.record_batch({"a": pa.array(kept[0][0]), "b": pa.array(kept[0][1])})
                     kept = []
         if kept:
-            a, b = _forest(*map(np.concatenate, zip(*kept)))
+            a, b = forest(*map(np.concatenate, zip(*kept)))
             yield pa.record_batch({"a": pa.array(a), "b": pa.array(b)})
 
     return parts.mapInArrow(run, "a bigint, b bigint")
@@ -212,29 +212,6 @@ def _compare(group, stored, prints, radius, most: int = 1 << 22):
     return tuple(map(np.concatenate, zip(*found)))
 
 
-def _forest(a: np.ndarray, b: np.ndarray):
-    """Each node linked to the smallest of its component: at most one link a node."""
-    if not len(a):
-        return a, b
-    nodes, where = np.unique(np.concatenate([a, b]), return_inverse=True)
-    x, y = where[:len(a)], where[len(a):]
-    root = np.arange(len(nodes))
-    while True:
-        low = np.minimum(root[x], root[y])
-        new = root.copy()
-        np.minimum.at(new, root[x], low)
-        np.minimum.at(new, root[y], low)
-        np.minimum.at(new, x, low)
-        np.minimum.at(new, y, low)
-        while (new[new] != new).any():
-            new = new[new]
-        if (new == root).all():
-            break
-        root = new
-    linked = root != np.arange(len(nodes))
-    return nodes[linked], nodes[root[linked]]
-
-
 # -- operator ---------------------------------------------------------------
 
 

@@ -1,0 +1,112 @@
+"""The Katz model against a plain one that keeps words as strings."""
+
+from __future__ import annotations
+
+import math
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from strataflow.llm import katz
+from strataflow.llm.common import documents
+
+SF_DIR = "/root/testdata/sf0.001"
+SCHEMA = "doc_id bigint, text string, lang string, ends int"
+
+
+def tokens_of(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return [w for w in re.split(r"[\x20\x09-\x0D]+", lowered) if w] + [None]
+
+
+class Plain:
+    """p(w | h) by the textbook, one event at a time."""
+
+    def __init__(self, texts):
+        self.uni, self.bi, self.context = Counter(), Counter(), Counter()
+        for text in texts:
+            before = "<start>"
+            for w in tokens_of(text):
+                self.uni[w] += 1
+                self.bi[before, w] += 1
+                self.context[before] += 1
+                before = w
+        self.n = sum(self.uni.values())
+        self.d1, self.d2 = self.discounts(self.uni), self.discounts(self.bi)
+        freed = sum(c * (1 - self.d1.get(c, 1)) for c in self.uni.values())
+        self.events = self.n + (freed <= 0)
+        self.unseen = (freed if freed > 0 else 1) / self.events
+        self.after = {}
+        for (h, w), c in self.bi.items():
+            self.after.setdefault(h, {})[w] = c
+
+    @staticmethod
+    def discounts(counts):
+        n = Counter(counts.values())
+        a = 6 * n[6] / n[1] if n[1] else 1
+        found = {}
+        for r in range(1, 6):
+            d = ((r + 1) * n[r + 1] / n[r] / r - a) / (1 - a) if n[r] and a < 1 else 0
+            found[r] = d if 0 < d <= 1 else (r - 0.5) / r
+        return found
+
+    def single(self, w):
+        c = self.uni[w]
+        return self.d1.get(c, 1) * c / self.events if c else self.unseen
+
+    def p(self, h, w):
+        if not self.context[h]:
+            return self.single(w)
+        seen = self.after[h]
+        freed = sum(c * (1 - self.d2.get(c, 1)) for c in seen.values())
+        total = self.context[h] + (freed <= 1e-12)
+        if w in seen:
+            return self.d2.get(seen[w], 1) * seen[w] / total
+        left = (freed if freed > 1e-12 else 1) / total
+        return left / (1 - sum(self.single(x) for x in seen)) * self.single(w)
+
+    def score(self, text):
+        before, total = "<start>", 0.0
+        for w in tokens_of(text):
+            total += math.log10(self.p(before, w))
+            before = w
+        return total
+
+
+def held(doc_id):
+    return doc_id is None or zlib.crc32(str(doc_id).encode()) % 10 == 0
+
+
+def check(rows, data):
+    model = Plain([t for i, t in data if not held(i)])
+    types = len(model.uni)
+    want = Counter()
+    for doc_id, text in data:
+        toks = tokens_of(text)
+        base = sum(math.log10((model.uni[w] + 0.1) / (model.n + 0.1 * (types + 1))) for w in toks)
+        known = sum(model.uni[w] > 0 for w in toks)
+        want[doc_id, held(doc_id), len(toks), known, model.n, round(base, 5), round(model.score(text), 5)] += 1
+    got = Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5), round(r.score, 5)) for r in rows)
+    assert got == want
+    return model
+
+
+def test_scores_of_the_test_table(spark, monkeypatch):
+    monkeypatch.setattr(katz, "BUCKET_TOKENS", 5000)
+    docs = documents(spark, SF_DIR)
+    data = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    model = check(katz.op1_katz(spark, SF_DIR).collect(), data)
+    for h in ["<start>", *list(model.context)[1:40], "never seen"]:  # each distribution sums to one
+        assert sum(model.p(h, w) for w in [*model.uni, "never seen"]) == pytest.approx(1, abs=1e-9)
+
+
+@pytest.mark.parametrize("data", [
+    [],
+    [(None, None), (None, "a b"), (3, None), (3, ""), (4, "a b a b"), (4, "a b a b"), (5, "  \n\t ")],
+    [(i, "x y " * 30) for i in range(12)] + [(30, "Ä ä B b b"), (31, "x " * 50_000)],
+], ids=["empty", "nulls and ties", "counts above the discounts"])
+def test_edge_cases(spark, data):
+    docs = spark.createDataFrame([(i, t, "en", 7) for i, t in data], SCHEMA)
+    check(katz.score_documents(docs).collect(), data)
