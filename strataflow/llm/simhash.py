@@ -43,13 +43,17 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id", t
     return source.mapInArrow(run, "doc_id bigint, fp bigint")
 
 
-def _simhash(text: bytes | None, shingle: int, piece: int = 1 << 14) -> int:
+def _simhash(text: bytes | None, shingle: int) -> int:
     tokens = words(text or b"")
     if not tokens:
         return 0
     size = min(shingle, len(tokens))
     grams = map(b" ".join, zip(*(tokens[i:] for i in range(size))))
-    hashes = np.fromiter(map(_xxh64, grams), "u8", len(tokens) - size + 1)
+    return _majority(np.fromiter(map(_xxh64, grams), "u8", len(tokens) - size + 1))
+
+
+def _majority(hashes: np.ndarray, piece: int = 1 << 14) -> int:
+    """Each bit that is set in over half of the hashes."""
     set_bits = np.zeros(64, np.int64)
     for start in range(0, len(hashes), piece):
         bits = np.unpackbits(hashes[start:start + piece].view("u1"), bitorder="little")
@@ -94,7 +98,8 @@ def _golay_table(spark: SparkSession) -> DataFrame:
 
 
 def candidate_keys(prints: DataFrame) -> DataFrame:
-    """``(key, fp, stored)``: four stored keys a fingerprint and about twenty looked up.
+    """``prints(id, fp, seed)`` to ``(key, id, fp, stored)``: four stored keys a
+    fingerprint and about twenty looked up. Fingerprints of different seeds share none.
 
     64 bits make four segments in a ring. Among 3 wrong bits some segment is
     whole while the one after it has at most one wrong bit: with one segment
@@ -110,55 +115,51 @@ def candidate_keys(prints: DataFrame) -> DataFrame:
         F.struct(F.lit(i).alias("place"), segments[i].alias("whole"), segments[(i + 1) % SEGMENTS].alias("segment"))
         for i in range(SEGMENTS)
     ))
-    placed = prints.select("fp", F.explode(ring).alias("s")).select("fp", "s.*")
+    placed = prints.select("id", "fp", "seed", F.explode(ring).alias("s")).select("id", "fp", "seed", "s.*")
     near = placed.join(F.broadcast(_golay_table(spark)), "segment")
-    listed = near.select("fp", "place", "whole", F.posexplode("near").alias("at", "code"))
-    key = (F.col("place") * 16 + 0).cast("bigint") * (1 << 28) + F.col("whole").cast("bigint") * (1 << 12) + F.col("code")
-    looked_up = listed.select(key.alias("key"), "fp", F.lit(False).alias("stored"))
-    stored = listed.where("at = 0").select(key.alias("key"), "fp", F.lit(True).alias("stored"))
-    return looked_up.unionByName(stored)
+    # the own codeword comes twice, to be stored and to be looked up
+    listed = near.withColumn("near", F.concat(F.slice("near", 1, 1), "near")).select("id", "fp", "seed", "place", "whole", F.posexplode("near").alias("at", "code"))
+    where = (F.col("seed") * SEGMENTS + F.col("place")).cast("bigint")
+    key = where * (1 << 28) + F.col("whole").cast("bigint") * (1 << 12) + F.col("code")
+    return listed.select(key.alias("key"), "id", "fp", (F.col("at") == 0).alias("stored"))
 
 
-def near_edges(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``(a, b)`` links that join the same components as all pairs of distinct
-    fingerprints at ``radius`` or fewer differing bits.
+def near_edges(prints: DataFrame, radius: int = RADIUS, sketches: DataFrame | None = None, similarity: float = 0.0) -> DataFrame:
+    """``(a, b)`` links of ids that join the same components as all pairs with
+    fingerprints of one seed at ``radius`` or fewer differing bits and, if
+    ``sketches(id, sketch)`` are given, an estimated ``similarity`` at least.
 
     Every candidate of a key is compared; of the links found a task keeps a
     spanning forest, so a group of copies makes rows in proportion to its size.
-    A key with more than ``BLOCK`` fingerprints is dealt out as pairs of blocks,
-    each compared in a task of its own.
+    A key with more than ``BLOCK`` rows is dealt out as pairs of blocks, each
+    compared in a task of its own.
     """
     if radius > RADIUS:
         raise ValueError("the keys find fingerprints at up to 3 differing bits")
-    keys = written(candidate_keys(prints), "simhash-keys")
-    sizes = keys.groupBy("key").agg(
-        F.count("*").alias("n"), F.max("stored").alias("held"), F.min("fp").alias("low"), F.max("fp").alias("high")
-    )
+    keys = candidate_keys(prints)
+    sizes = keys.groupBy("key").agg(F.count("*").alias("n"), F.max("stored").alias("held"), F.min("id").alias("low"), F.max("id").alias("high"))
     shared = written(
-        sizes.where("held AND low <> high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")),
-        "simhash-shared",
+        sizes.where("held AND low <> high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "simhash-shared"
     )
-    block = F.pmod(F.xxhash64("fp", "stored"), "blocks").cast("int")
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    block = F.pmod(F.xxhash64("id", "stored"), "blocks").cast("int")
     dealt = (
-        keys.join(shared, "key")
-        .withColumn("own", block)
-        .withColumn("other", F.explode(every))
+        keys.join(shared, "key").withColumn("own", block)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             "key",
             F.when(F.col("stored"), F.col("own")).otherwise(F.col("other")).alias("left"),
             F.when(F.col("stored"), F.col("other")).otherwise(F.col("own")).alias("right"),
-            "stored", "fp",
+            "stored", "id", "fp",
         )
     )
-    parts = dealt.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
+    dealt = dealt.join(sketches, "id") if sketches is not None else dealt.withColumn("sketch", F.lit(None).cast("binary"))
+    columns = ("key", "left", "right", "stored", "id", "fp", "sketch")
+    parts = dealt.select(*columns).repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[np.ndarray] = []
-        for group, stored, prints in _whole_groups(batches):
-            a, b = _compare(group, stored, prints, radius)
-            a, b = forest(a, b)
-            kept.append((a, b))
+        kept: list[tuple[np.ndarray, np.ndarray]] = []
+        for group, columns in _whole_groups(batches):
+            kept.append(forest(*_compare(group, *columns, radius, similarity)))
             if sum(len(x) for x, _ in kept) > 1 << 20:
                 kept = [forest(*map(np.concatenate, zip(*kept)))]
                 if len(kept[0][0]) > 1 << 19:
@@ -175,7 +176,9 @@ def _whole_groups(batches: Iterator[pa.RecordBatch]):
     """Batches cut at group ends; a group has at most about two blocks of rows."""
     rest: list[np.ndarray] | None = None
     for batch in batches:
-        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
+        sketch = b"".join(x or b"" for x in batch.column(6).to_pylist())
+        columns.append(np.frombuffer(sketch, "u2").reshape(batch.num_rows, -1 if sketch else 0))
         if rest is not None:
             columns = [np.concatenate(pair) for pair in zip(rest, columns)]
         if not len(columns[0]):
@@ -185,31 +188,113 @@ def _whole_groups(batches: Iterator[pa.RecordBatch]):
         last = int(np.flatnonzero(change)[-1])
         rest = [c[last:] for c in columns]
         if last:
-            yield np.cumsum(change[:last]), columns[3][:last], columns[4][:last]
+            yield np.cumsum(change[:last]), [c[:last] for c in columns[3:]]
     if rest is not None:
-        yield np.zeros(len(rest[0]), np.int64), rest[3], rest[4]
+        yield np.zeros(len(rest[0]), np.int64), rest[3:]
 
 
-def _compare(group, stored, prints, radius, most: int = 1 << 22):
+def _compare(group, stored, ids, prints, sketches, radius, similarity, most: int = 1 << 21):
     """Pairs of a stored and a looked-up row of the same group that verify."""
     held, asked = np.flatnonzero(stored), np.flatnonzero(~stored)
     starts = np.searchsorted(group[held], group[asked], "left")
     counts = np.searchsorted(group[held], group[asked], "right") - starts
     ends = np.cumsum(counts)
-    found = []
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     at = 0
-    while at < len(asked):  # some thousand looked-up rows at a time bound the memory
+    while at < len(asked):  # some looked-up rows at a time bound the memory
         upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
         n = counts[at:upto]
         first = np.repeat(starts[at:upto], n)
         offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        x, y = prints[held[first + offset]], np.repeat(prints[asked[at:upto]], n)
-        good = (np.bitwise_count((x ^ y).view("u8")) <= radius) & (x != y)
-        found.append((x[good], y[good]))
+        x, y = held[first + offset], np.repeat(asked[at:upto], n)
+        good = (np.bitwise_count((prints[x] ^ prints[y]).view("u8")) <= radius) & (ids[x] != ids[y])
+        x, y = x[good], y[good]
+        if similarity:
+            good = np.concatenate([np.zeros(0, bool), *(
+                estimate(sketches[x[i:i + 4096]], sketches[y[i:i + 4096]]) >= similarity for i in range(0, len(x), 4096)
+            )])
+            x, y = x[good], y[good]
+        a.append(ids[x])
+        b.append(ids[y])
         at = upto
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return tuple(map(np.concatenate, zip(*found)))
+    return np.concatenate(a), np.concatenate(b)
+
+
+# -- near copies by several fingerprints and a sketch -------------------------
+
+#: Bins of a document's sketch; the standard error at a similarity of 0.8 is 0.025.
+BINS = 256
+#: Fingerprints of a document when near copies are looked for.
+SEEDS = 5
+EMPTY = 0xFFFF
+
+
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """One-permutation MinHash: 16 bits of the least hash in each bin."""
+    out = np.full(BINS, EMPTY, "u2")
+    ordered = np.sort(hashes)
+    where = (ordered >> np.uint64(56)).astype(int)
+    first = np.flatnonzero(np.diff(where, prepend=-1))
+    out[where[first]] = (ordered[first] >> np.uint64(8)) % np.uint64(EMPTY)
+    return out
+
+
+def estimate(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Estimated Jaccard similarity of sketched sets, pair by pair."""
+    used = (left != EMPTY) | (right != EMPTY)
+    return ((left == right) & used).sum(1) / np.maximum(used.sum(1), 1)
+
+
+def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, seeds: int = SEEDS) -> DataFrame:
+    """``(doc_id, component_id)`` of documents alike in ``similarity`` of their
+    five-word shingles or more.
+
+    A similarity of 0.8 moves the fingerprint of the shingles by some ten bits, more
+    than any exact candidate search covers. The words themselves change far less, so
+    candidates come from SimHash fingerprints of the distinct words, one a seed, at
+    three or fewer differing bits; the shingles then decide, by sketch. Equal texts
+    are one node, so all exact copies are linked. Null and empty texts are equal.
+    A null doc_id is never a component's name.
+    """
+    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [words(t.as_py() or b"") for t in batch.column(1)]
+            drawn = [_word_prints(t, seeds) for t in texts]
+            yield pa.record_batch({
+                "doc_id": batch.column(0),
+                "text_hash": pa.array(np.array([_xxh64(b" ".join(t)) for t in texts], "u8").view("i8")),
+                "prints": pa.array(drawn, pa.list_(pa.int64())),
+                "sketch": pa.array([_shingle_sketch(t, shingle).tobytes() for t in texts], pa.binary()),
+            })
+
+    rows = written(source.mapInArrow(run, "doc_id bigint, text_hash bigint, prints array<bigint>, sketch binary"), "near-copies")
+    nodes = written(
+        rows.groupBy("text_hash").agg(F.min("doc_id").alias("least"), F.min("prints").alias("prints"), F.min("sketch").alias("sketch"))
+        .withColumnRenamed("text_hash", "id"), "near-copies-nodes"
+    )
+    prints = nodes.select("id", F.posexplode("prints").alias("seed", "fp"))
+    roots = connected_components(near_edges(prints, RADIUS, nodes.select("id", "sketch"), similarity))
+    rooted = nodes.select("id", "least").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = rooted.join(names, "root").select(F.col("id").alias("text_hash"), "component_id")
+    return rows.select("doc_id", "text_hash").join(named, "text_hash").select("doc_id", "component_id")
+
+
+def _word_prints(tokens: list[bytes], seeds: int) -> list[int]:
+    distinct = list(set(tokens))
+    out = np.zeros(seeds, "u8")
+    for seed in range(seeds if distinct else 0):
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in distinct), "u8", len(distinct))
+        out[seed] = _majority(hashes)
+    return out.view("i8").tolist()
+
+
+def _shingle_sketch(tokens: list[bytes], shingle: int) -> np.ndarray:
+    size = max(1, min(shingle, len(tokens)))
+    grams = map(b" ".join, zip(*(tokens[i:] for i in range(size))))
+    return sketch(np.fromiter(map(_xxh64, grams), "u8"))
 
 
 # -- operator ---------------------------------------------------------------
@@ -226,25 +311,23 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
     """
     prints = written(fingerprints(docs, shingle), "simhash")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    roots = connected_components(near_edges(distinct.select("fp"), radius))
+    nodes = distinct.select(F.col("fp").alias("id"), "fp", F.lit(0).alias("seed"))
+    roots = connected_components(near_edges(nodes, radius))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(names, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+def keep_first(docs: DataFrame, components: DataFrame) -> DataFrame:
     """One document of each component: the row of its smallest doc_id, all columns kept.
 
-    Documents without words link only with each other. If several rows bear the
-    smallest doc_id, each stays: they are one document to every later join.
-    Rows with a null doc_id stay when their component has no named document.
+    If several rows bear the smallest doc_id, each stays: they are one document to
+    every later join. Rows whose doc_id is null cannot be told apart and stay.
     """
-    components = simhash_components(docs, shingle, radius)
-    kept = components.where("component_id IS NOT NULL AND doc_id = component_id").select("doc_id").distinct()
-    unnamed = components.where("component_id IS NULL").limit(1).count() > 0
-    named = docs.join(kept, "doc_id", "left_semi")
-    return named.unionByName(docs.where("doc_id IS NULL")) if unnamed else named
+    gone = components.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = components.where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(gone.join(kept, "doc_id", "left_anti"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

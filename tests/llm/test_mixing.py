@@ -1,0 +1,58 @@
+"""Pfair interleaving: windows, deviation, whole results."""
+
+from __future__ import annotations
+
+from collections import Counter
+from fractions import Fraction
+
+import pytest
+
+from strataflow.llm import mixing
+
+SCHEMA = "doc_id bigint, source string, text string, slot string, _key int"
+
+
+@pytest.mark.parametrize("weights", [{"a": 1}, {"a": 1, "b": 1}, {"a": 7, "b": 2, "c": 1}, {str(i): i * i for i in range(60)}, {"a": 0, "b": 0}])
+def test_every_source_stays_less_than_one_block_from_its_share(weights):
+    given = mixing.shares(weights, 200)
+    assert sum(given.values()) == 200 and min(given.values()) >= 1
+    done = Counter()
+    plan = mixing.schedule(given)
+    assert [s for _, _, s in plan] == list(range(200))
+    for source, block, slot in plan:
+        share = Fraction(given[source], 200)
+        assert block == done[source] and block / share // 1 <= slot < -(-(block + 1) / share // 1)
+        done[source] += 1
+        assert all(abs(done[k] - Fraction(a, 200) * (slot + 1)) < 1 for k, a in given.items())
+
+
+@pytest.mark.parametrize("targets", [None, {"a": 3, "b": 1, None: 1}])
+def test_rows_are_kept_and_follow_the_schedule(spark, targets):
+    data = [(i, "a" if i % 3 else "b", "t") for i in range(900)] + [(i, None, None) for i in range(40)] + [(None, "a", ""), (5, "a", "tie"), (5, "a", "tie")]
+    docs = spark.createDataFrame([(*d, "clash", 1) for d in data], SCHEMA).drop("_key")
+    rows = mixing.mix(docs, targets, block=4, frame=20).collect()
+    assert Counter((r.doc_id, r.source, r.text) for r in rows) == Counter(data)
+    taken = {}
+    for r in rows:
+        assert taken.setdefault(r.slot, (r.source, r.block)) == (r.source, r.block)
+        assert r.release <= r.slot < r.deadline and 0 <= r.place < 4
+    for source in ("a", "b", None):
+        mine = [r for r in rows if r.source == source]
+        assert sorted((r.block, r.place) for r in mine) == [divmod(i, 4) for i in range(len(mine))]
+
+
+def test_ranges_do_not_change_the_order(spark):
+    docs = spark.range(500).selectExpr("id AS doc_id", "'s' AS source")
+    one = {r.doc_id: (r.slot, r.place) for r in mixing.mix(docs).collect()}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "17")
+    try:
+        assert {r.doc_id: (r.slot, r.place) for r in mixing.mix(docs).collect()} == one
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_empty_table_and_too_many_sources(spark):
+    assert mixing.mix(spark.createDataFrame([], SCHEMA)).count() == 0
+    with pytest.raises(ValueError, match="frame"):
+        mixing.mix(spark.range(30).selectExpr("id AS doc_id", "string(id) AS source"), frame=20)

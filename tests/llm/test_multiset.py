@@ -1,0 +1,67 @@
+"""Multiset fingerprints: homomorphy, order, the chain of next documents."""
+
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from strataflow.llm import multiset
+
+SCHEMA = "doc_id bigint, text string, vector int, edited string, _part int"
+
+
+def plain_vector(text):
+    lanes = [0] * (multiset.SIGN_LANES + multiset.SUM_LANES)
+    for p in (text or "").split("\n"):
+        if p:
+            digest = hashlib.sha256(p.encode()).hexdigest()
+            w = [int(digest[8 * i:8 * i + 8], 16) for i in range(8)]
+            for i in range(multiset.SIGN_LANES):
+                lanes[i] += 1 - 2 * (w[i // 32] >> i % 32 & 1)
+            for i in range(multiset.SUM_LANES):
+                lanes[multiset.SIGN_LANES + i] += w[4 + i]
+    return [x % multiset.MODULUS for x in lanes]
+
+
+def test_vectors_add_subtract_and_ignore_order(spark):
+    df = spark.createDataFrame([("a\nb\nb\nc", "c\nb\na\nb", "b\nc", "a\nb")], "t string, shuffled string, l string, r string")
+    v = {c: multiset.vector(F.col(c)) for c in df.columns}
+    row = df.select(
+        v["t"].alias("t"), v["shuffled"].alias("s"), multiset.combine(v["l"], v["r"]).alias("sum"), multiset.combine(v["t"], v["l"], -1).alias("less"), v["r"].alias("r")
+    ).first()
+    assert row.t == row.s == row["sum"] == plain_vector("a\nb\nb\nc")
+    assert row.less == row.r
+
+
+@pytest.mark.parametrize("data", [
+    [],
+    [(1, "only\none")],
+    [(None, None), (None, "x\ny"), (3, None), (3, ""), (4, "tie\nlines here"), (4, "tie\nlines here"), (9, "Ä😀é\nxyz\n\nabc"), (2, "q\n" * 4000)],
+], ids=["empty", "one", "nulls, ties, long"])
+def test_edge_cases(spark, data):
+    docs = spark.createDataFrame([(i, t, 1, "clash", 2) for i, t in data], SCHEMA)
+    rows = multiset.edited_fingerprints(docs).collect()
+    assert len(rows) == len(data)
+    chain = list({(i, t or "") for i, t in data})
+    order = {i: n for n, i in enumerate(sorted({i for i, _ in chain}, key=lambda i: (i is None, -(i or 0))))}
+    hashes = {t: spark.createDataFrame([(t,)], "t string").select(F.xxhash64("t")).first()[0] for _, t in chain}
+    chain.sort(key=lambda d: (order[d[0]], -hashes[d[1]]))
+    want = []
+    for i, t in data:
+        text = t or ""
+        following = chain[(chain.index((i, text)) + 1) % len(chain)][1]
+        k = len(text) // 3
+        edited = text[: len(text) - k] + following[:k]
+        want.append((str(i), len(text), edited, plain_vector(text), plain_vector(edited), plain_vector(following)))
+    assert sorted((str(r.doc_id), r.n_chars, r.edited, r.vector, r.edited_vector, r.next_vector) for r in rows) == sorted(want)
+
+
+def test_likeness_follows_the_shared_paragraphs(spark):
+    base = [f"paragraph {i}" for i in range(60)]
+    texts = ["\n".join(base), "\n".join(base[:40] + [f"new {i}" for i in range(20)]), "\n".join(f"other {i}" for i in range(60)), "", ""]
+    df = spark.createDataFrame([(texts[0], t) for t in texts] + [("", "")], "l string, r string")
+    found = [r[0] for r in df.select(multiset.likeness(multiset.vector(F.col("l")), multiset.vector(F.col("r")))).collect()]
+    assert found[0] == 1 and 0.45 < found[1] < 0.85 and found[2] < 0.35 and found[3] == 0 and found[5] == 1
+    assert all(0 <= x <= 1 for x in found)
