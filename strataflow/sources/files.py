@@ -4,19 +4,20 @@ from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
+from urllib import parse
 
-from pyspark import inheritable_thread_target
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 SOURCE_PATH = "_source_path"
 SOURCE_FILE = "_source_file"
+SURPLUS_LINE = "_surplus_line"
+DIALECT = ("sep", "delimiter", "quote", "escape", "charToEscapeQuoteEscaping")
 
-HEADER_JOBS = 16
 ONE_PETABYTE = str(1 << 50)
 
 
@@ -68,12 +69,27 @@ def listing_session(spark: SparkSession) -> SparkSession:
 def csv_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
     """First line of each file, keyed by path; files without a line are absent.
 
-    One small job per file stops at its first record, so the cost follows the
-    number of files, not their size; several run at a time.
+    One job for all paths, with a task per file that stops after its first line.
     """
-    with ThreadPoolExecutor(HEADER_JOBS) as pool:
-        first = pool.map(inheritable_thread_target(spark)(lambda p: spark.read.text(literal(p)).first()), paths)
-        return {path: row.value for path, row in zip(paths, first) if row is not None}
+    session = listing_session(spark)
+    session.conf.set("spark.sql.files.openCostInBytes", ONE_PETABYTE)  # no two files in one task
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    lines = session.read.text([literal(p) for p in paths]).select(F.col("_metadata.file_path").alias("path"), "value")
+    named = {_bare(p): p for p in paths}
+    found = lines.mapInArrow(_first_row, "path STRING, value STRING").collect()  # a line per listed path
+    return {named[_bare(parse.unquote(row.path))]: row.value for row in found}
+
+
+def _first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
+def _bare(path: str) -> str:
+    """A path without its scheme, of which ``file:/x`` and ``file:///x`` are two forms."""
+    return re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*:)?/*", "", path)
 
 
 def header_groups(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> dict[tuple[str, ...], list[str]]:
@@ -95,18 +111,34 @@ def read_csv_groups(
 
     One scan per distinct header, united by name; a column a file lacks is NULL.
     ``enforceSchema`` off makes Spark itself check each file against its header.
-    Names that differ from ``columns`` in case alone are taken as those.
+    Names that differ from ``columns`` in case alone are taken as those. A line with
+    fewer fields than the header has NULL for the rest; one with more keeps its text
+    in ``_surplus_line``, which is NULL otherwise.
     """
     known = {name.lower(): name for name in columns or ()}
     parts = []
     for names, paths in groups.items():
         text = ", ".join(f"`{name}` STRING" for name in names)
-        part = with_source(read_csv(spark, [literal(p) for p in paths], text, enforceSchema=False, **options))
+        # Spark keeps the text of a line whose number of fields is not the header's.
+        read = read_csv(
+            spark, [literal(p) for p in paths], f"{text}, `{SURPLUS_LINE}` STRING",
+            enforceSchema=False, columnNameOfCorruptRecord=SURPLUS_LINE, columnPruning=False, **options,
+        )
+        dialect = {k: str(v) for k, v in options.items() if k in DIALECT}
+        more = F.from_csv(SURPLUS_LINE, f"{text}, `{SURPLUS_LINE}` STRING", dialect)[SURPLUS_LINE]
+        part = with_source(read)
         parts.append(part.select(*[F.col(f"`{n}`").alias(known.get(n.lower(), n)) for n in names],
+                                 F.when(more.isNotNull(), F.col(SURPLUS_LINE)).alias(SURPLUS_LINE),
                                  SOURCE_PATH, SOURCE_FILE))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def refuse_surplus(df: DataFrame) -> DataFrame:
+    """Fail on a line that has more fields than its header names."""
+    message = F.concat(F.lit("more fields than the header names: "), SURPLUS_LINE, F.lit(" in "), SOURCE_PATH)
+    return df.filter(F.when(F.col(SURPLUS_LINE).isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True))
+
+
 def literal(path: str) -> str:
     """A listed path as a reader argument: marks that would be patterns are escaped."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)

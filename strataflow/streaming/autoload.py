@@ -90,6 +90,8 @@ class AutoLoad:
             .option("pathGlobFilter", self.glob)
             .option("recursiveFileLookup", True)
             .option("maxFilesPerTrigger", self.max_files)
+            # Files count by path alone: by default Spark passes over those a week older than the newest.
+            .option("maxFileAge", "36500d")
             .load(self.source)
             .select("path")
         )
@@ -163,16 +165,17 @@ class AutoLoad:
 
     def _typed(self, text: DataFrame, columns: list[str]) -> DataFrame:
         """Cast the hinted columns; a value that does not fit becomes NULL and
-        keeps its original in the rescue column, together with its file."""
+        keeps its original in the rescue column, together with its file. A line with
+        more fields than its header keeps its whole text there."""
         for missing in (c for c in columns if c not in text.columns):
             text = text.withColumn(missing, F.lit(None).cast("string"))
         hinted = [c for c in columns if c.lower() in self.pinned]
         rescued = {c: self._misfit(c) for c in hinted}
-        rescue = F.lit(None).cast("string")
-        if rescued:
-            any_misfit = F.coalesce(*rescued.values()).isNotNull()
-            fields = [v.alias(c) for c, v in rescued.items()] + [F.col(files.SOURCE_PATH).alias("_file_path")]
-            rescue = F.when(any_misfit, F.to_json(F.struct(*fields)))
+        surplus = F.col(files.SURPLUS_LINE)
+        any_misfit = F.coalesce(*rescued.values(), surplus).isNotNull()
+        fields = [v.alias(c) for c, v in rescued.items()]
+        fields += [surplus.alias("_line"), F.col(files.SOURCE_PATH).alias("_file_path")]
+        rescue = F.when(any_misfit, F.to_json(F.struct(*fields)))
         return text.select(
             *[self._cast(c).alias(c) if c in hinted else F.col(f"`{c}`") for c in columns],
             rescue.alias(self.rescue_column),

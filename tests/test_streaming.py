@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 import time
 
 import pytest
@@ -167,3 +168,24 @@ def test_reset_reads_everything_again(stream, put):
     put("land/lot3.csv", LOT3)
     stream.drain()
     assert rows(stream.read(), "event_id", "device") == [(1, None), (2, None), (3, "ios")]
+
+
+def test_files_of_any_age_are_taken_once(stream, put, tmp_path):
+    put("land/now.csv", LOT1)
+    stream.drain()
+    for days, name in ((10, "late"), (5 * 365, "old")):
+        put(f"land/{name}.csv", f"event_id,user_id,product_id,kind\n{days},1,1,x\n")
+        at = time.time() - days * 86_400
+        os.utime(tmp_path / f"land/{name}.csv", (at, at))
+    stream.drain()
+    stream.drain()
+    assert rows(stream.read(), "event_id") == [(1,), (2,), (10,), (1825,)]
+
+
+def test_a_line_with_more_fields_keeps_its_text(stream, put):
+    put("land/a.csv", "event_id,user_id,product_id,kind\n1,10,5,click,EXTRA,2\n2,11\n3,12,6,\"a,b\"\n")
+    stream.drain()
+    found = {r.event_id: (r.user_id, r.kind, r._rescued_data) for r in stream.read().collect()}
+    assert found[1][:2] == (10, "click") and json.loads(found[1][2])["_line"] == "1,10,5,click,EXTRA,2"
+    assert found[2] == (11, None, None)  # fewer fields are NULL
+    assert found[3] == (12, "a,b", None)
