@@ -11,14 +11,13 @@ _LOCAL_ROOTS: dict[str, str] = {}
 
 
 PARTITION_BYTES = 256 * 1024 * 1024
-MAX_PARTITIONS = 100_000
 
 
 def shuffle_partitions(shuffled_bytes: int, cores: int) -> int:
     """Partitions for a shuffle of that size, about 256 MB each and at least one
     per core. AQE merges those that turn out small, but cannot add any."""
     wanted = -(-shuffled_bytes // PARTITION_BYTES)
-    return min(max(wanted, cores), MAX_PARTITIONS)
+    return max(wanted, cores)
 
 
 def build_session(

@@ -1,8 +1,8 @@
 """Paged API extraction as a partitioned Spark data source.
 
-Partition ``i`` of ``n`` reads pages ``i``, ``i + n``, ``i + 2n`` ... until the
-first empty page, so calls run and retry in the executors and the number of
-pages need not be known.
+The pages to read are known before they are read: the transport lists them, or
+names the last one. They are dealt out to the partitions, and calls run and
+retry in the executors. A page without records is a page like any other.
 """
 
 from __future__ import annotations
@@ -10,16 +10,30 @@ from __future__ import annotations
 import json
 import re
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from typing import Protocol
 from urllib import error, parse, request
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-# A transport maps a page number (from 0) to (status, body); a body is a JSON array.
-Transport = Callable[[int], tuple[int, str]]
+# Calls in a row that one partition makes, about; they set the number of partitions.
+PAGES_PER_PARTITION = 16
+NO_ANSWER = 599
+
+
+class Transport(Protocol):
+    """Fetches the pages of one result."""
+
+    def __call__(self, page: int) -> tuple[int, str]:
+        """Status and body, a JSON array, of a page numbered from 0."""
+
+    def pages(self) -> Sequence[int]:
+        """Numbers of all pages there are."""
 
 
 class ApiError(RuntimeError):
@@ -31,7 +45,7 @@ def is_transient(status: int) -> bool:
 
 
 def fetch_page(
-    transport: Transport, page: int, attempts: int = 3, sleep: Callable[[float], None] = time.sleep
+    transport: Callable[[int], tuple[int, str]], page: int, attempts: int = 3, sleep: Callable[[float], None] = time.sleep
 ) -> str:
     """Body of one page. Waits 1, 2, 4 ... seconds between transient failures."""
     for attempt in range(attempts):
@@ -69,6 +83,30 @@ class HttpTransport:
                 return reply.status, reply.read().decode()
         except error.HTTPError as refused:
             return refused.code, ""
+        except (error.URLError, TimeoutError, ConnectionError):
+            return NO_ANSWER, ""
+
+    def pages(self) -> Sequence[int]:
+        """Up to the page that the first reply's ``Link`` header calls the last; one
+        page where it names none."""
+        for attempt in range(3):
+            try:
+                with request.urlopen(self.build(0), timeout=self.timeout) as reply:
+                    return range(self.last_page(reply.headers.get("Link")) + 1)
+            except (error.URLError, TimeoutError, ConnectionError) as failed:
+                if isinstance(failed, error.HTTPError) and not is_transient(failed.code):
+                    raise ApiError(f"first page: status {failed.code} will not improve by retrying") from failed
+                if attempt < 2:
+                    time.sleep(2**attempt)
+        raise ApiError("first page: no answer after 3 attempts")
+
+    def last_page(self, link: str | None) -> int:
+        """Number, from 0, of the last page by a ``Link`` header."""
+        for target, rel in re.findall(r'<([^>]*)>[^,]*?rel="?([^",;]+)', link or ""):
+            number = parse.parse_qs(parse.urlsplit(target).query).get("page")
+            if rel == "last" and number:
+                return int(number[0]) - self.first_page
+        return 0
 
 
 @dataclass(frozen=True)
@@ -77,11 +115,16 @@ class FileTransport:
 
     root: str
 
-    def __call__(self, page: int) -> tuple[int, str]:
+    def _folder(self):
         from pyarrow import fs
 
         root = self.root.replace("file:/", "file:///", 1) if re.match("file:/[^/]", self.root) else self.root
-        system, path = fs.FileSystem.from_uri(root)
+        return fs.FileSystem.from_uri(root)
+
+    def __call__(self, page: int) -> tuple[int, str]:
+        from pyarrow import fs
+
+        system, path = self._folder()
         entries = system.get_file_info(fs.FileSelector(f"{path}/page={page}", allow_not_found=True))
         bodies = []
         for entry in entries:
@@ -90,38 +133,43 @@ class FileTransport:
                     bodies += stream.read().decode().splitlines()
         return 200, "[" + ",".join(bodies) + "]"
 
+    def pages(self) -> Sequence[int]:
+        """The numbers of the page folders there are, which may have gaps."""
+        from pyarrow import fs
+
+        system, path = self._folder()
+        names = (entry.base_name for entry in system.get_file_info(fs.FileSelector(path)))
+        return sorted(int(name.removeprefix("page=")) for name in names if re.fullmatch(r"page=\d+", name))
+
 
 class _Slice(InputPartition):
-    def __init__(self, first: int, step: int):
-        super().__init__(first)
-        self.first, self.step = first, step
+    def __init__(self, pages: Sequence[int]):
+        super().__init__(pages)
+        self.pages = pages
 
 
 class _PagedReader(DataSourceReader):
-    def __init__(self, transport: Transport, schema: StructType, partitions: int, attempts: int):
+    def __init__(self, transport: Transport, schema: StructType, pages_per_partition: int, attempts: int):
         self.transport, self.attempts = transport, attempts
-        self.names = schema.names
-        self.slices = partitions
+        self.schema, self.share = schema, pages_per_partition
 
     def partitions(self) -> list[InputPartition]:
-        return [_Slice(i, self.slices) for i in range(self.slices)]
+        pages = list(self.transport.pages())
+        n = max(1, -(-len(pages) // self.share))
+        return [_Slice(pages[i::n]) for i in range(n)]
 
-    def read(self, partition: _Slice) -> Iterator[tuple]:
-        page = partition.first
-        while True:
+    def read(self, partition: _Slice) -> Iterator[pa.RecordBatch]:
+        schema = to_arrow_schema(self.schema)
+        for page in partition.pages:
             records = json.loads(fetch_page(self.transport, page, self.attempts))
-            if not records:
-                return
-            for record in records:
-                yield tuple(record.get(name) for name in self.names)
-            page += partition.step
+            yield pa.RecordBatch.from_pylist(records, schema)
 
 
 def read_pages(
     spark: SparkSession,
     transport: Transport,
     schema: StructType,
-    partitions: int = 8,
+    pages_per_partition: int = PAGES_PER_PARTITION,
     attempts: int = 3,
     name: str = "paged_api",
 ) -> DataFrame:
@@ -136,7 +184,7 @@ def read_pages(
             return schema
 
         def reader(self, schema: StructType) -> DataSourceReader:
-            return _PagedReader(transport, schema, partitions, attempts)
+            return _PagedReader(transport, schema, pages_per_partition, attempts)
 
     spark.dataSource.register(Source)
     return spark.read.format(name).load()

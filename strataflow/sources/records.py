@@ -3,25 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-MAX_RECORDS = 100_000
-
-
-def from_records(
-    spark: SparkSession, records: Iterable[dict], schema: StructType, max_records: int = MAX_RECORDS
-) -> DataFrame:
-    """Rows from a small driver-side list, such as one API reply; NOT NULL is
-    enforced. More than ``max_records`` belong in files or in ``paged.read_pages``."""
-    rows = [tuple(record.get(name) for name in schema.names) for record in islice(records, max_records + 1)]
-    if len(rows) > max_records:
-        raise ValueError(f"more than {max_records} records on the driver")
-    return spark.createDataFrame(rows, schema)
+def from_records(spark: SparkSession, records: Iterable[dict], schema: StructType) -> DataFrame:
+    """Rows from a driver-side list, such as one API reply; NOT NULL is enforced.
+    What is more than a reply belongs in files (``land_payload``, ``parse_payload``)
+    or in ``paged.read_pages``, which never pass through the driver."""
+    return spark.createDataFrame([tuple(record.get(name) for name in schema.names) for record in records], schema)
 
 
 def land_payload(df: DataFrame, path: str, column: str = "payload", by: str | None = None) -> None:

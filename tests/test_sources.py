@@ -105,8 +105,6 @@ def test_records_enforce_not_null_and_fill_absent_keys(spark):
     assert rows(records.from_records(spark, [{"id": 1, "extra": 2}], schema)) == [(1, None)]
     with pytest.raises(PySparkException):
         records.from_records(spark, [{"name": "x"}], schema).collect()
-    with pytest.raises(ValueError):
-        records.from_records(spark, ({"id": i} for i in range(3)), schema, max_records=2)
 
 
 def test_payload_round_trip(spark, tmp_path):
@@ -120,7 +118,7 @@ def test_payload_round_trip(spark, tmp_path):
 def test_shuffle_partitions_follow_the_data():
     assert shuffle_partitions(0, 64) == 64
     assert shuffle_partitions(1 << 40, 64) == 4096
-    assert shuffle_partitions(100 << 40, 8000) == 100_000
+    assert shuffle_partitions(100 << 40, 8000) == 409_600
 
 
 # Paged API
@@ -173,21 +171,43 @@ def test_landed_pages_are_found_by_any_form_of_path(put, tmp_path):
     for root in (f"{tmp_path}/api", f"file:{tmp_path}/api", f"file://{tmp_path}/api"):
         assert json.loads(paged.FileTransport(root)(0)[1]) == [{"id": 1}, {"id": 2}]
         assert paged.FileTransport(root)(1) == (200, "[]")
+        assert paged.FileTransport(root).pages() == [0]
 
 
-@pytest.mark.parametrize("partitions", [1, 3, 8])
-def test_all_pages_are_read_once(spark, put, tmp_path, partitions):
-    for page in range(5):
-        lines = [json.dumps({"id": page * 10 + i, "name": f"n{i}"}) for i in range(10 if page < 4 else 3)]
-        put(f"api/page={page}/part.txt", "\n".join(lines))
+@pytest.mark.parametrize("share", [1, 3, 100])
+def test_all_pages_are_read_once(spark, put, tmp_path, share):
+    wanted = []
+    for page in (0, 1, 2, 3, 7, 12):  # page 2 is empty, others are missing
+        ids = [page * 10 + i for i in range(0 if page == 2 else 3 if page == 12 else 10)]
+        put(f"api/page={page}/part.txt", "\n".join(json.dumps({"id": i, "name": f"n{i}"}) for i in ids))
+        wanted += ids
     transport = paged.FileTransport(str(tmp_path / "api"))
     schema = schemas.contract("id BIGINT, name STRING, absent INT")
-    found = paged.read_pages(spark, transport, schema, partitions)
-    assert found.rdd.getNumPartitions() == partitions
-    assert sorted(r.id for r in found.collect()) == list(range(43))
+    found = paged.read_pages(spark, transport, schema, share)
+    assert found.rdd.getNumPartitions() == -(-6 // share)
+    assert sorted(r.id for r in found.collect()) == wanted
     assert found.filter("absent IS NOT NULL").isEmpty()
 
 
+def test_last_page_comes_from_the_link_header():
+    api = paged.HttpTransport("http://api.example/items")
+    link = '<http://api.example/items?page=2>; rel="next", <http://api.example/items?per_page=9&page=34>; rel="last"'
+    assert api.last_page(link) == 33
+    assert api.last_page('<http://api.example/items?page=1>; rel="prev"') == api.last_page(None) == 0
+
+
+def test_a_lost_connection_is_transient(monkeypatch):
+    from urllib import error
+
+    def broken(*args, **kwargs):
+        raise failure
+
+    monkeypatch.setattr(paged.request, "urlopen", broken)
+    for failure in (TimeoutError(), error.URLError("reset"), ConnectionResetError()):
+        status, _ = paged.HttpTransport("http://api.example/items")(0)
+        assert paged.is_transient(status)
+
+
 # Database
 
 @pytest.fixture(scope="module")
@@ -210,10 +230,10 @@ def sizes(df):
 
 
 def test_jdbc_subquery_is_split_into_ranges(spark, crm):
-    found = jdbc.read_query(spark, crm, "CRM", ["ID", "NAME"], split_on="ID", partitions=4)
+    found = jdbc.read_query(spark, crm, "CRM", ["ID", "NAME"], split_on="ID", rows_per_range=25)
     assert found.rdd.getNumPartitions() == 4 and max(sizes(found)) <= 26
     assert found.columns == ["ID", "NAME"] and rows(found.select("ID")) == [(i,) for i in range(100)]
-    small = jdbc.read_query(spark, crm, "CRM", ["ID"], where="ID < 1 OR ID = 50", split_on="ID")
+    small = jdbc.read_query(spark, crm, "CRM", ["ID"], where="ID < 1 OR ID = 50", split_on="ID", rows_per_range=1)
     assert rows(small) == [(0,), (50,)]
     assert jdbc.read_query(spark, crm, "CRM", ["ID"], where="ID < 0", split_on="ID").isEmpty()
     assert jdbc.read_query(spark, crm, "CRM", ["NAME"], split_on="ID").count() == 100
@@ -223,15 +243,26 @@ def test_jdbc_ranges_follow_the_rows_not_the_key_span(spark, crm):
     data = [(i,) for i in range(1000)] + [(10_000_000,), (-5,), (None,), (None,)]
     spark.createDataFrame(data, "K BIGINT").write.format("jdbc").options(**crm).option(
         "dbtable", "UNEVEN").mode("overwrite").save()
-    found = jdbc.read_query(spark, crm, "UNEVEN", ["K"], split_on="K", partitions=4)
+    found = jdbc.read_query(spark, crm, "UNEVEN", ["K"], split_on="K", rows_per_range=251)
     assert rows(found) == sorted(data, key=lambda r: (r[0] is not None, r[0] or 0))
     assert found.rdd.getNumPartitions() >= 4 and max(sizes(found)) < 400
 
 
+def test_federated_ranges_follow_the_rows(spark, crm):
+    data = [(i % 40 + 500,) for i in range(1000)] + [(10_000_000,), (-5,), (None,)]
+    spark.createDataFrame(data, "K BIGINT").write.format("jdbc").options(**crm).option(
+        "dbtable", "BUNCHED").mode("overwrite").save()
+    jdbc.register_catalog(spark, "crmtest", crm)
+    found = jdbc.read_federated(spark, "crmtest.APP.BUNCHED", ["K"], split_on="K", rows_per_range=200)
+    assert rows(found) == sorted(data, key=lambda r: (r[0] is not None, r[0] or 0))
+    assert max(sizes(found)) <= 200
+
+
 def test_federated_scan_pushes_filter_columns_and_max(spark, crm):
     jdbc.register_catalog(spark, "crmtest", crm)
-    whole = jdbc.read_federated(spark, "crmtest.APP.CRM", ["ID", "NAME"], split_on="ID", partitions=4)
+    whole = jdbc.read_federated(spark, "crmtest.APP.CRM", ["ID", "NAME"], split_on="ID", rows_per_range=25)
     assert whole.rdd.getNumPartitions() == 4 and whole.count() == 100
+    assert jdbc.read_federated(spark, "crmtest.APP.CRM", ["NAME"], split_on="ID").rdd.getNumPartitions() == 1
     found = whole.filter("ID > 97")
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PASSWORD_HASH" not in plan and "ID > 97" in plan.split("PushedFilters")[1]
