@@ -15,15 +15,6 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 1_000_000
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-MAX_CROSS_ROWS = 1_000_000
-
-
-class CrossJoinTooLarge(ValueError):
-    pass
-
-
 def inner_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of both sides with equal keys; the keys appear once."""
     return left.join(right, list(keys), "inner")
@@ -39,6 +30,9 @@ def outer_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
 
     Rows with a NULL key match nothing and skip the join; that also gives the
     inner and the unmatched part the same input, so its shuffle is done once.
+    Each side is evaluated more than once: give it deterministic inputs (tables,
+    files). The result of ``dropDuplicates`` on part of the columns, for example,
+    may differ between evaluations and make a row both matched and unmatched.
     """
     if how not in ("left", "right", "full"):
         raise ValueError(f"not an outer join: {how}")
@@ -63,37 +57,18 @@ def left_join_where(
     return outer_join(left, right.filter(right_condition), keys, "left")
 
 
-def fits_broadcast(
-    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
-) -> bool:
-    """Whether a side was measured to be within both limits; the measuring stops
-    after ``max_rows + 1`` rows. The size counts the values as text and a fixed
-    word per column."""
-    text = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
-    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), text).first()
-    return rows <= max_rows and size + rows * 8 * (len(df.columns) + 1) <= max_bytes
+def lookup_join(left: DataFrame, reference: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join to a reference table, without measuring it first.
 
+    Spark broadcasts the reference where its statistics, or at run time its shuffled
+    size, are below the session's threshold. Otherwise it shuffles, and splits a
+    hot key on the kept side, rows whose key is NULL among them.
+    """
+    return left.join(reference, list(keys), "left")
 
-def lookup_join(
-    left: DataFrame,
-    reference: DataFrame,
-    keys: Sequence[str],
-    max_rows: int = MAX_BROADCAST_ROWS,
-    max_bytes: int = MAX_BROADCAST_BYTES,
-) -> DataFrame:
-    """Left join to a reference table: by broadcast where its size allows, else by
-    shuffle."""
-    if fits_broadcast(reference, max_rows, max_bytes):
-        return left.join(F.broadcast(reference), list(keys), "left")
-    return outer_join(left, reference, keys, "left")
-
-
-def cross_join(left: DataFrame, right: DataFrame, max_rows: int = MAX_CROSS_ROWS) -> DataFrame:
-    """Every pair of two small sets; refuses a product above ``max_rows``."""
-    n_left = left.limit(max_rows + 1).count()
-    n_right = right.limit(max_rows + 1).count()
-    if n_left * n_right > max_rows:
-        raise CrossJoinTooLarge(f"{n_left} x {n_right} rows or more exceed the limit of {max_rows}")
+
+def cross_join(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every pair of two sets. The output is the product of both sizes."""
     return left.crossJoin(right)
 
 

@@ -219,28 +219,59 @@ def test_outer_join_shuffles_its_kept_side_once(spark, name):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
-def test_lookup_is_broadcast_only_within_the_limits(spark):
-    # E22
-    reference = spark.createDataFrame([(i, f"city{i}") for i in range(1, 9)], "address_id INT, city STRING")
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_lookup_is_broadcast_where_its_size_allows(spark, tmp_path):
+    # E22: Spark decides, from the size on disk and from what was shuffled; nothing is measured before
+    path = str(tmp_path / "reference")
+    spark.range(1, 3000).selectExpr("int(id) AS address_id", "concat('city', id) AS city").write.parquet(path)
+    reference = spark.read.parquet(path)
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    found = {}
     try:
-        small = joins.lookup_join(bridge(spark), reference, ["address_id"])
-        assert "BroadcastHashJoin" in plan(small) and "LeftOuter" in plan(small)
-        for limit in ({"max_rows": 7}, {"max_bytes": 20}):
-            large = joins.lookup_join(bridge(spark), reference, ["address_id"], **limit)
-            assert "Broadcast" not in plan(large)
-            assert rows(large) == rows(small)
+        for limit in ("10MB", "1KB"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            df = joins.lookup_join(bridge(spark), reference, ["address_id"])
+            found[limit] = (final_plan(df), rows(df))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin" in found["10MB"][0] and "LeftOuter" in found["10MB"][0]
+    assert "Broadcast" not in found["1KB"][0]
+    assert found["10MB"][1] == found["1KB"][1]
+    assert all("Limit" not in text for text, _ in found.values())
+
+
+@pytest.mark.parametrize("hot", [None, 7])
+def test_lookup_splits_a_hot_key(spark, hot):
+    held = {k: spark.conf.get(k) for k in (
+        "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+        "spark.sql.shuffle.partitions") if spark.conf.get(k, None) is not None}
+    for key, value in {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB", "spark.sql.shuffle.partitions": "16",
+    }.items():
+        spark.conf.set(key, value)
+    try:
+        key = "CAST(NULL AS INT)" if hot is None else str(hot)
+        left = spark.range(0, 60_000, 1, 8).selectExpr(f"CASE WHEN id % 3 = 0 THEN int(id % 500) ELSE {key} END AS address_id", "uuid() AS v")
+        df = joins.lookup_join(left, spark.range(500).selectExpr("int(id) AS address_id", "id AS city"), ["address_id"])
+        assert "skew=true" in final_plan(df)
+        assert df.count() == 60_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        for k, v in held.items():
+            spark.conf.set(k, v)
 
 
-def test_cross_join_is_guarded(spark):
+def test_cross_join_is_the_product(spark):
     # E23
     three = spark.range(3)
     assert joins.cross_join(three, three.toDF("other")).count() == 9
-    with pytest.raises(joins.CrossJoinTooLarge):
-        joins.cross_join(three, three.toDF("other"), max_rows=8)
 
 
 def test_unions_add_and_dedup_removes_overlap(spark):
