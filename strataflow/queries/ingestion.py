@@ -13,7 +13,7 @@ from strataflow.functions.columns import money_sum
 from strataflow.operators import aggregates, shaping
 from strataflow.plans import flows, loads
 from strataflow.plans.ledger import LedgerTable
-from strataflow.queries.landing import LOTS, Landing, write_csv
+from strataflow.queries.landing import LOTS, SURPLUS, Landing, write_csv, write_surplus
 from strataflow.queries.registry import query
 from strataflow.session import scratch_path
 from strataflow.sources import files, jdbc, paged, records
@@ -33,26 +33,33 @@ HEAD_PATHS = {
 }
 
 
+SUPPLIED = (
+    "WITH lines AS (SELECT l_orderkey, l_suppkey, COUNT(*) AS n FROM lineitem GROUP BY l_orderkey, l_suppkey), head AS ("
+    + ORDER_HEAD.format(extra="")
+    + ") "
+)
+
+
 @query(
     "json_nested_scan",
-    "WITH lines AS (SELECT l_orderkey, COUNT(*) AS n FROM lineitem GROUP BY l_orderkey), head AS ("
-    + ORDER_HEAD.format(extra="")
-    + ") SELECT order_id, customer_name, customer_nation, COALESCE(n, 0) AS n_items "
+    SUPPLIED + "SELECT order_id, l_suppkey AS supplier_id, customer_name, customer_nation, COALESCE(n, 0) AS n_items "
     "FROM head LEFT JOIN lines ON order_id = l_orderkey",
 )
 def json_nested_scan(land: Landing) -> DataFrame:
     items = F.coalesce(F.size("items"), F.lit(0))
-    return (
-        land.json_orders()
-        .groupBy("order_id", F.col("customer.name").alias("customer_name"),
-                 F.col("customer.address.nation").alias("customer_nation"))
-        .agg(F.sum(F.when(items < 0, 0).otherwise(items)).cast("bigint").alias("n_items"))
+    return land.json_orders().select(
+        "order_id", "supplier_id", F.col("customer.name").alias("customer_name"),
+        F.col("customer.address.nation").alias("customer_nation"),
+        F.when(items < 0, 0).otherwise(items).cast("bigint").alias("n_items"),
     )
 
 
-@query("flatten_struct", ORDER_HEAD.format(extra=""))
+@query(
+    "flatten_struct",
+    SUPPLIED + "SELECT head.*, l_suppkey AS supplier_id FROM head LEFT JOIN lines ON order_id = l_orderkey",
+)
 def flatten_struct(land: Landing) -> DataFrame:
-    return shaping.flatten(land.json_orders(), HEAD_PATHS).distinct()
+    return shaping.flatten(land.json_orders(), HEAD_PATHS | {"supplier_id": "supplier_id"})
 
 
 @query(
@@ -81,7 +88,7 @@ def flatten_orders(land: Landing) -> DataFrame:
 def load_flat(land: Landing) -> str:
     """Nested files to an audited line table; the file name is captured at the scan."""
     name = land.new_table("order_items")
-    landed = land.json_orders().withColumn("source_file", F.col("_metadata.file_name"))
+    landed = land.json_orders().withColumn("source_file", F.col("_metadata.file_name")).drop("supplier_id")
     loads.full_load(add_audit(flows.flatten_orders(landed), "web", "json_1"), name)
     return name
 
@@ -174,10 +181,10 @@ def _in_utc(column: str):
 
 @query("records_to_df", "SELECT brand, COUNT(*) AS products FROM api_products GROUP BY brand", API)
 def records_to_df(land: Landing) -> DataFrame:
-    """A small reply as driver-side records: one per brand, of which there are few."""
-    reply = aggregates.counts_by(land.rows("api_products"), ["brand"], "products")
-    found = (row.asDict() for row in reply.toLocalIterator())
-    return records.from_records(land.spark, found, schemas.contract("brand STRING NOT NULL, products BIGINT"))
+    """Records of all landed replies, projected to a schema where they lie."""
+    landed = land.spark.read.text(land.api_pages()).withColumnRenamed("value", "payload")
+    found = records.parse_payload(landed, schemas.contract("id BIGINT, brand STRING"))
+    return aggregates.counts_by(found, ["brand"], "products")
 
 
 # Transactional database
@@ -341,15 +348,18 @@ class OrderLoad:
         )
 
 
-@query("copy_into_first", f"SELECT {ROWS} FROM orders_full", LOADED)
+BOTH = f"SELECT {ROWS} FROM orders_full UNION ALL SELECT {ROWS} FROM orders_later"
+
+
+@query("copy_into_first", BOTH, LOADED)
 def copy_into_first(land: Landing) -> DataFrame:
-    return OrderLoad(land).arrive("orders_full").copy().rows()
+    return OrderLoad(land).arrive("orders_full").arrive("orders_later").copy().rows()
 
 
-@query("copy_into_rerun", "SELECT status, COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS last_affected "
-       "FROM orders_full GROUP BY status", LOADED)
+@query("copy_into_rerun", f"SELECT status, COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS last_affected "
+       f"FROM ({BOTH}) GROUP BY status", LOADED)
 def copy_into_rerun(land: Landing) -> DataFrame:
-    return OrderLoad(land).arrive("orders_full").copy().copy().summary()
+    return OrderLoad(land).arrive("orders_full").arrive("orders_later").copy().copy().summary()
 
 
 @query("copy_into_incremental", f"SELECT {ROWS} FROM orders_full UNION ALL SELECT {ROWS} FROM orders_later", LOADED)
@@ -378,14 +388,17 @@ def copy_into_recreate(land: Landing) -> DataFrame:
 
 @query(
     "load_history",
-    "SELECT CAST(1 AS BIGINT) AS version, COUNT(*) AS rows_inserted, true AS wrote_files FROM orders_full "
+    "SELECT CAST(1 AS BIGINT) AS version, COUNT(*) AS rows_inserted, true AS counts_its_files FROM orders_full "
     "UNION ALL SELECT CAST(2 AS BIGINT), COUNT(*), true FROM orders_later",
     LOADED,
 )
 def load_history(land: Landing) -> DataFrame:
     load = OrderLoad(land).arrive("orders_full").copy().arrive("orders_later").copy()
-    return load.table.load_history().select(
-        "version", "rows_inserted", (F.col("files_written") > 0).alias("wrote_files")
+    stored = land.spark.table(load.table.data).groupBy(F.col("load_id").alias("version")).agg(
+        F.countDistinct("_metadata.file_path").alias("files_stored")
+    )
+    return load.table.load_history().join(stored, "version").select(
+        "version", "rows_inserted", (F.col("files_written") == F.col("files_stored")).alias("counts_its_files")
     )
 
 
@@ -400,12 +413,16 @@ class EventStream:
         self.folder = f"{root}/landing"
         self.load = AutoLoad(
             land.spark, self.folder, land.new_table("events"), f"{root}/checkpoint", f"{root}/schema",
-            hints=schemas.EVENT_HINTS, source_system="app", merge_schema=True,
+            hints=schemas.EVENT_HINTS, source_system="app", merge_schema=True, glob="part-*",
         )
 
     def arrive(self, *lots: str) -> EventStream:
         for lot in lots:
-            write_csv(self.land.rows(lot), f"{self.folder}/{lot}")
+            rows = self.land.rows(lot)
+            if lot == LOTS[-1]:
+                write_surplus(rows.filter(SURPLUS), f"{self.folder}/{lot}_surplus")
+                rows = rows.filter(f"NOT ({SURPLUS})")
+            write_csv(rows, f"{self.folder}/{lot}")
         return self
 
     def drain(self) -> EventStream:
@@ -428,13 +445,6 @@ def all_lots(land: Landing) -> EventStream:
     )
 
 
-EARLY = "SELECT event_id, CAST(user_id AS BIGINT) AS user_id, event_type, product_id{device} FROM {lot}"
-
-
-def _union(lots: tuple[str, ...], template: str) -> str:
-    return " UNION ALL ".join(template.format(lot=lot, device="") for lot in lots)
-
-
 CLICKS = (
     ", clicks AS ("
     + " UNION ALL ".join(
@@ -447,57 +457,59 @@ CLICKS = (
 )
 
 
-@query("autoload_stream", _union(LOTS[:2], EARLY), LOTS[:2])
+CLICK_ROWS = f"{CLICKS} SELECT event_id, user_id, event_type, product_id, device FROM clicks"
+
+
+@query("autoload_stream", CLICK_ROWS, LOTS)
 def autoload_stream(land: Landing) -> DataFrame:
-    return EventStream(land).arrive(*LOTS[:2]).drain().rows().drop("_rescued_data")
+    return EventStream(land).arrive(*LOTS).drain().rows().drop("_rescued_data")
 
 
-@query("autoload_rerun", _union(LOTS[:2], EARLY), LOTS[:2])
+@query("autoload_rerun", CLICK_ROWS, LOTS)
 def autoload_rerun(land: Landing) -> DataFrame:
-    return EventStream(land).arrive(*LOTS[:2]).drain().drain().rows().drop("_rescued_data")
+    return EventStream(land).arrive(*LOTS).drain().drain().rows().drop("_rescued_data")
 
 
-@query(
-    "autoload_evolve",
-    f"{CLICKS} SELECT event_id, user_id, event_type, product_id, device FROM clicks",
-    LOTS,
-)
+@query("autoload_evolve", CLICK_ROWS, LOTS)
 def autoload_evolve(land: Landing) -> DataFrame:
     return all_lots(land).rows().drop("_rescued_data")
 
 
 @query(
     "autoload_rescue",
-    f"{CLICKS} SELECT event_id, user_id, rescued_user, true AS names_file FROM clicks WHERE rescued_user IS NOT NULL",
+    f"{CLICKS}, surplus AS (SELECT event_id, concat_ws(',', event_id, device, user_id, event_type, product_id, 'extra') AS line "
+    f"FROM {LOTS[-1]} WHERE {SURPLUS}) "
+    "SELECT event_id, user_id, rescued_user, line, true AS names_file FROM clicks LEFT JOIN surplus USING (event_id) "
+    "WHERE rescued_user IS NOT NULL OR line IS NOT NULL",
     LOTS,
 )
 def autoload_rescue(land: Landing) -> DataFrame:
-    rescued = F.from_json("_rescued_data", "user_id STRING, _file_path STRING")
+    rescued = F.from_json("_rescued_data", "user_id STRING, _line STRING, _file_path STRING")
     return (
         all_lots(land).rows().filter("_rescued_data IS NOT NULL")
         .select("event_id", "user_id", rescued.alias("r"))
         .select("event_id", "user_id", F.col("r.user_id").alias("rescued_user"),
-                F.col("r._file_path").endswith(".csv").alias("names_file"))
+                F.col("r._line").alias("line"), F.col("r._file_path").contains("/part-").alias("names_file"))
     )
 
 
-@query("autoload_periodic", _union(LOTS[:2], EARLY), LOTS[:2])
+@query("autoload_periodic", CLICK_ROWS, LOTS)
 def autoload_periodic(land: Landing) -> DataFrame:
-    """The second lot arrives while the stream runs."""
-    stream = EventStream(land).arrive(LOTS[0])
+    """Two lots, of one header each, are there; the others arrive while the stream runs."""
+    stream = EventStream(land).arrive(LOTS[0], LOTS[2])
     running = stream.load.start(processingTime="1 second")
     try:
         running.processAllAvailable()
-        stream.arrive(LOTS[1])
+        stream.arrive(LOTS[1], LOTS[3])
         running.processAllAvailable()
     finally:
         running.stop()
     return stream.rows().drop("_rescued_data")
 
 
-@query("autoload_reset", _union(LOTS[:2], EARLY), LOTS[:2])
+@query("autoload_reset", CLICK_ROWS, LOTS)
 def autoload_reset(land: Landing) -> DataFrame:
-    stream = EventStream(land).arrive(*LOTS[:2]).drain()
+    stream = EventStream(land).arrive(*LOTS).drain()
     stream.load.reset()
     return stream.drain().rows().drop("_rescued_data")
 
@@ -505,7 +517,7 @@ def autoload_reset(land: Landing) -> DataFrame:
 @query("stream_progress", f"{CLICKS} SELECT COUNT(*) AS rows_loaded, true AS all_files_taken FROM clicks", LOTS)
 def stream_progress(land: Landing) -> DataFrame:
     stream = all_lots(land)
-    present = files.inventory(land.spark, stream.folder, "*.csv").count()
+    present = files.inventory(land.spark, stream.folder, "part-*").count()
     return stream.load.batches().agg(
         F.sum("rows").alias("rows_loaded"), (F.sum("files") == present).alias("all_files_taken")
     )

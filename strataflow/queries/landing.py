@@ -122,6 +122,9 @@ INPUTS["events_3"] = _EVENT.format(
 INPUTS["events_4"] = _EVENT.format(device=_DEVICE, user=_GUEST, when="ts >= TIMESTAMP '2024-01-24 00:00:00'")
 LOTS = ("events_1", "events_2", "events_3", "events_4")
 
+# Rows of the fourth lot that arrive with a field more than the header names.
+SURPLUS = "event_id % 97 = 0"
+
 # A transactional customer table on two days, with columns that must not land.
 _SOURCE = """
 SELECT c_custkey AS customer_id, c_name AS name, c_mktsegment AS segment,
@@ -152,9 +155,6 @@ INPUTS["api_products_later"] = _PRODUCT.format(
 )
 PAGE_SIZE = 500
 
-ITEMS_PER_DOCUMENT = 64
-
-
 def oracle_ctes(*names: str) -> str:
     """``WITH`` clause that defines inputs over the plain table names."""
     plain = {t: t for t in TABLES}
@@ -196,7 +196,7 @@ class Landing:
         return self.once(f"csv:{name}", land)
 
     def nested_orders(self) -> str:
-        """Folder with orders as nested JSON documents."""
+        """Folder with nested JSON documents, one per order and supplier."""
 
         def land() -> str:
             path = scratch_path(self.spark, "nested_orders")
@@ -262,33 +262,31 @@ def write_csv(df: DataFrame, path: str) -> None:
     ).csv(path)
 
 
+def write_surplus(df: DataFrame, path: str) -> None:
+    """CSV files whose rows have one field more than their header; a file holds the
+    rows of a span of event ids, so its size is bounded."""
+    line = F.concat_ws(",", *(F.col(c).cast("string") for c in df.columns), F.lit("extra"))
+    spans = df.select(F.floor(F.col("event_id") / 10_000).alias("span"), line.alias("line")).groupBy("span").agg(
+        F.array_join(F.collect_list("line"), "\n").alias("lines")
+    )
+    header = F.lit(",".join(df.columns) + "\n")
+    spans.select(F.concat(header, "lines").alias("value"), "span").write.partitionBy("span").text(path)
+
+
 def fold_orders(landing: Landing) -> DataFrame:
-    """One document per order with its items nested.
+    """One document per order and supplier, with the items it ships nested; an
+    order without lines has one document without items.
 
-    A document holds at most ``ITEMS_PER_DOCUMENT`` items: an order with more
-    lines arrives as several documents, cut by position in the scanned files. The
-    repartition spreads these; without it the partitioning of the join by order
-    alone would be taken over, and one task would fold all lines of a huge order.
+    An order of any size is thereby many documents, each with the few items that
+    one supplier has in one order.
     """
-    position = F.monotonically_increasing_id()
-    lines = (
-        landing.table("lineitem")
-        .select("l_orderkey", "l_partkey", F.col("l_quantity").cast("int").alias("quantity"),
-                position.alias("position"))
-    )
-    large = (
-        landing.table("lineitem").groupBy("l_orderkey").count()
-        .filter(F.col("count") > ITEMS_PER_DOCUMENT)
-        .select("l_orderkey", F.lit(True).alias("is_large"))
+    lines = landing.table("lineitem").select(
+        "l_orderkey", "l_suppkey", "l_partkey", F.col("l_quantity").cast("int").alias("quantity")
     )
-    document = F.when(F.col("is_large"), F.floor(F.col("position") / ITEMS_PER_DOCUMENT)).otherwise(F.lit(0))
     parts = landing.table("part").select("p_partkey", "p_name", "p_type", "p_retailprice")
     items = (
         lines.join(parts, lines.l_partkey == parts.p_partkey)
-        .join(large, "l_orderkey", "left")
-        .withColumn("document", document)
-        .repartition("l_orderkey", "document")
-        .groupBy("l_orderkey", "document")
+        .groupBy("l_orderkey", "l_suppkey")
         .agg(
             F.collect_list(
                 F.struct(
@@ -315,6 +313,6 @@ def fold_orders(landing: Landing) -> DataFrame:
         .join(items, orders.o_orderkey == items.l_orderkey, "left")
         .select(
             F.col("o_orderkey").alias("order_id"), F.to_date("o_orderdate").alias("order_date"),
-            F.col("o_orderstatus").alias("channel"), "customer", "items",
+            F.col("o_orderstatus").alias("channel"), F.col("l_suppkey").alias("supplier_id"), "customer", "items",
         )
     )

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataflow import schemas
-from strataflow.functions.audit import add_audit
+from strataflow.functions.audit import add_audit, batch_label
 from strataflow.functions.columns import money_sum, with_tax
 from strataflow.operators import aggregates, dedup, joins, quality, shaping
 from strataflow.plans import loads
@@ -257,18 +259,37 @@ def describe_table(land: Landing) -> DataFrame:
 
 @query(
     "landing_inventory",
-    "SELECT 'orders_full' AS lot, true AS has_files, true AS has_bytes FROM orders_full "
+    "SELECT 'orders_full' AS lot, true AS lists_every_file, true AS has_bytes FROM orders_full "
     "UNION SELECT 'orders_later', true, true FROM orders_later",
     BATCHES,
 )
 def landing_inventory(land: Landing) -> DataFrame:
-    listings = [
-        files.inventory(land.spark, land.csv(name), "*.csv").withColumn("lot", F.lit(name))
-        for name in ("orders_full", "orders_later")
-    ]
-    return shaping.union_by_name(*listings).groupBy("lot").agg(
-        (F.count("path") > 0).alias("has_files"), (F.sum("length") > 0).alias("has_bytes")
+    lots = ("orders_full", "orders_later")
+    listed = [files.inventory(land.spark, land.csv(name), "*.csv").withColumn("lot", F.lit(name)) for name in lots]
+    read = [land.spark.read.text(land.csv(name)).select(F.lit(name).alias("lot"), "_metadata.file_path") for name in lots]
+    present = shaping.union_by_name(*read).groupBy("lot").agg(F.countDistinct("file_path").alias("n_read"))
+    found = shaping.union_by_name(*listed).filter("length > 0").groupBy("lot").agg(
+        F.count("path").alias("n_listed"), (F.sum("length") > 0).alias("has_bytes")
     )
+    return found.join(present, "lot").select("lot", (F.col("n_listed") == F.col("n_read")).alias("lists_every_file"), "has_bytes")
+
+
+@query("batch_id_from_clock", "SELECT sale_id, 'sales_20260630_0905' AS batch_id FROM sales", SALES)
+def batch_id_from_clock(land: Landing) -> DataFrame:
+    label = batch_label("sales", datetime(2026, 6, 30, 9, 5))
+    return add_audit(land.sales(), batch_id=label).select("sale_id", "batch_id")
+
+
+@query(
+    "drop_qualified",
+    "SELECT customer_id, address_id, city FROM addresses JOIN address_reference USING (address_id)",
+    ("addresses", "address_reference"),
+)
+def drop_qualified(land: Landing) -> DataFrame:
+    """After a join on a condition, the second of two columns of one name goes."""
+    bridge, reference = land.addresses(), land.address_reference()
+    joined = bridge.join(reference, bridge["address_id"] == reference["address_id"])
+    return joined.drop(reference["address_id"]).select("customer_id", "address_id", "city")
 
 
 # Set operations on the address bridge
@@ -304,6 +325,6 @@ def drop_duplicates_subset(land: Landing) -> DataFrame:
 @query("join_cross", ", a AS (SELECT DISTINCT category FROM sales), b AS (SELECT DISTINCT region FROM sales) "
        "SELECT category, region FROM a CROSS JOIN b", SALES)
 def join_cross(land: Landing) -> DataFrame:
-    """All combinations of two value sets, whose sizes are checked first."""
+    """All combinations of two value sets."""
     sales = land.spark.table(sales_table(land))
-    return joins.cross_join(sales.select("category").distinct(), sales.select("region").distinct(), 10_000)
+    return joins.cross_join(sales.select("category").distinct(), sales.select("region").distinct())

@@ -13,7 +13,7 @@ ORDERS = (
     "status STRING, priority STRING, amount DOUBLE"
 )
 NESTED_ORDERS = (
-    "order_id BIGINT NOT NULL, order_date DATE NOT NULL, channel STRING, "
+    "order_id BIGINT NOT NULL, order_date DATE NOT NULL, channel STRING, supplier_id BIGINT, "
     "customer STRUCT<customer_id: BIGINT, name: STRING, segment: STRING, "
     "address: STRUCT<nation: STRING, region: STRING>>, "
     "items ARRAY<STRUCT<product: STRING, category: STRING, quantity: INT, unit_price: DOUBLE>>"

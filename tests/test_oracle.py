@@ -47,10 +47,7 @@ def test_scratch_is_the_shared_folder(spark):
     assert scratch_root(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_large_orders_become_several_documents(spark, monkeypatch):
-    import strataflow.queries.landing as landing
-
-    monkeypatch.setattr(landing, "ITEMS_PER_DOCUMENT", 2)
-    documents = fold_orders(Landing(spark, SF_DIR)).selectExpr("order_id", "size(items) AS n").filter("n > 0")
+def test_documents_hold_each_line_once(spark):
+    documents = fold_orders(Landing(spark, SF_DIR)).selectExpr("order_id", "supplier_id", "size(items) AS n").filter("n > 0")
     assert documents.agg({"n": "sum"}).first()[0] == Landing(spark, SF_DIR).table("lineitem").count()
-    assert documents.agg({"n": "max"}).first()[0] <= 2
+    assert documents.count() == documents.select("order_id", "supplier_id").distinct().count()
