@@ -123,8 +123,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     named like the added ones are replaced.
     """
     docs = docs.drop("n_lines", "removed_runs")
-    runs = repeated_runs(docs, min_words).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("runs").alias("removed_runs"))
-    joined = docs.join(runs, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_hash")), "left").drop("_doc", "_hash")
+    runs = repeated_runs(docs, min_words).select(F.col("doc_id").alias("__line_doc"), F.col("text_hash").alias("__line_hash"), F.col("runs").alias("removed_runs"))
+    joined = docs.join(runs, F.col("doc_id").eqNullSafe(F.col("__line_doc")) & (F.xxhash64("text") == F.col("__line_hash")), "left").drop("__line_doc", "__line_hash")
     lines = F.split("text", "\n", -1)
     cut = F.aggregate(
         "removed_runs",

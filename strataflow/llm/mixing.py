@@ -73,36 +73,36 @@ def mix(docs: DataFrame, targets: dict[str | None, int] | None = None, block: in
     its slot: no row is dropped or repeated. Columns named as the added ones are
     replaced; an empty table gives no rows.
     """
-    rows = docs.drop(*ADDED).withColumn("_key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
+    rows = docs.drop(*ADDED).withColumn("__mix_key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
     hashed = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 8), 16, 10).cast("bigint")
     # ranges of the hash split a hot source; the order does not depend on their number
     ranges = 4 * partitions(docs.sparkSession)
-    rows = rows.withColumns({"_hash": hashed, "_range": F.floor(hashed * ranges / (1 << 32)).cast("int")})
-    counts = rows.groupBy("_key", "_range").agg(F.count("*").alias("n"))
+    rows = rows.withColumns({"__mix_hash": hashed, "__mix_range": F.floor(hashed * ranges / (1 << 32)).cast("int")})
+    counts = rows.groupBy("__mix_key", "__mix_range").agg(F.count("*").alias("n"))
     offsets = counts.select(
-        "_key", "_range", (F.sum("n").over(W.partitionBy("_key").orderBy("_range")) - F.col("n")).alias("_offset")
+        "__mix_key", "__mix_range", (F.sum("n").over(W.partitionBy("__mix_key").orderBy("__mix_range")) - F.col("n")).alias("__mix_offset")
     )
-    sizes = counts.groupBy("_key").agg(F.sum("n").alias("n")).limit(frame + 1).collect()  # at most a frame of sources
+    sizes = counts.groupBy("__mix_key").agg(F.sum("n").alias("n")).limit(frame + 1).collect()  # at most a frame of sources
     if targets is None:
-        weights = {r._key: isqrt(r.n) for r in sizes}
+        weights = {r["__mix_key"]: isqrt(r.n) for r in sizes}
     else:
         named = {"" if k is None else f"={k}": w for k, w in targets.items()}
-        weights = {r._key: named.get(r._key, 0) for r in sizes}
+        weights = {r["__mix_key"]: named.get(r["__mix_key"], 0) for r in sizes}
     given = shares(weights, frame)
     spark = docs.sparkSession
     plan = spark.createDataFrame(
         [(k, j, slot, given[k]) for k, j, slot in (schedule(given) if given else [])],
-        "_key string, _turn bigint, _slot bigint, share bigint",
+        "__mix_key string, __mix_turn bigint, __mix_slot bigint, share bigint",
     )
-    order = W.partitionBy("_key", "_range").orderBy("_hash", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), "doc_id")
-    numbered = rows.withColumn("_row", F.row_number().over(order).cast("bigint")).join(offsets, ["_key", "_range"])
-    number = F.col("_row") + F.col("_offset") - 1
+    order = W.partitionBy("__mix_key", "__mix_range").orderBy("__mix_hash", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), "doc_id")
+    numbered = rows.withColumn("__mix_row", F.row_number().over(order).cast("bigint")).join(offsets, ["__mix_key", "__mix_range"])
+    number = F.col("__mix_row") + F.col("__mix_offset") - 1
     placed = numbered.withColumns({"block": F.floor(number / block), "place": number % block})
     # frame rows at most, which is the bound of this broadcast
-    turned = placed.join(F.broadcast(plan.select("_key", "share").distinct()), "_key").withColumn("_turn", F.col("block") % F.col("share"))
-    timed = turned.join(F.broadcast(plan.drop("share")), ["_key", "_turn"])
+    turned = placed.join(F.broadcast(plan.select("__mix_key", "share").distinct()), "__mix_key").withColumn("__mix_turn", F.col("block") % F.col("share"))
+    timed = turned.join(F.broadcast(plan.drop("share")), ["__mix_key", "__mix_turn"])
     return timed.withColumns({
-        "slot": F.floor(F.col("block") / F.col("share")) * frame + F.col("_slot"),
+        "slot": F.floor(F.col("block") / F.col("share")) * frame + F.col("__mix_slot"),
         "release": F.floor(F.col("block") * frame / F.col("share")),
         "deadline": F.ceil((F.col("block") + 1) * frame / F.col("share")),
     }).select(*(c for c in docs.columns if c not in ADDED), *ADDED)

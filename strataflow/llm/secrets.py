@@ -29,6 +29,7 @@ MIN_LENGTH = 20
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 #: Log-likelihood ratio (natural) from which on a string counts as random.
 MIN_RATIO = 12.0
+SMOOTHING = 20
 #: Bounds of the training sample: matched values, and documents whose words are taken.
 TRAIN_VALUES = 20_000
 TRAIN_DOCUMENTS = 2_000
@@ -70,10 +71,11 @@ def base_spans(docs: DataFrame, out: str = "base") -> DataFrame:
 def train_markov(samples: DataFrame) -> list[list[float]]:
     """Log-likelihood ratios of character pairs from ``samples(value, random)``.
 
-    Each model has the add-one estimate of a character given the one before it
-    (or the start). Row 0 is the start, rows and columns from 1 the alphabet. The
-    counts collected are at most two per pair of characters, whatever the sample.
-    Without a sample of a class its model is uniform.
+    Each model estimates a character from the one before it (or the start), mixed
+    with SMOOTHING counts of the character's own share, which is an add-one estimate.
+    Row 0 is the start, rows and columns from 1 the alphabet. The counts collected are
+    at most two per pair of characters, whatever the sample. Without a sample of a
+    class its model is uniform.
     """
     codes = F.transform(F.split("value", ""), lambda c: F.instr(F.lit(ALPHABET), c))
     pairs = samples.where("value <> ''").select("random", F.explode(F.arrays_zip(
@@ -83,11 +85,15 @@ def train_markov(samples: DataFrame) -> list[list[float]]:
     size = len(ALPHABET)
     models = {}
     for kind in (True, False):
-        table = [[1] * (size + 1) for _ in range(size + 1)]
+        table = [[0] * (size + 1) for _ in range(size + 1)]
         for row in counts:
             if row["random"] == kind:
                 table[row["a"]][row["b"]] += row["count"]
-        models[kind] = [[math.log(n / sum(line[1:])) for n in line] for line in table]
+        every = sum(map(sum, table))
+        share = [(sum(line[b] for line in table) + 1) / (every + size) for b in range(size + 1)]
+        models[kind] = [
+            [math.log((n + SMOOTHING * q) / (sum(line) + SMOOTHING)) for n, q in zip(line, share)] for line in table
+        ]
     return [[a - b for a, b in zip(x, y)] for x, y in zip(models[True], models[False])]
 
 
@@ -106,7 +112,8 @@ def ratio(value: Column, model: list[list[float]]) -> Column:
 
 def labelled_samples(found: DataFrame, values: int = TRAIN_VALUES, texts: int = TRAIN_DOCUMENTS) -> DataFrame:
     """``(value, random)`` from documents with ``base`` spans: matched values are
-    labelled random, the words of documents without a match ordinary.
+    labelled random, the words that two or more different texts without a match share
+    ordinary: a secret of no known pattern stands alone.
 
     At most ``values`` values and the words of ``texts`` documents are taken, those
     of least hash, so the sample is bounded and the same on every run.
@@ -116,7 +123,8 @@ def labelled_samples(found: DataFrame, values: int = TRAIN_VALUES, texts: int =
     clean = found.where("size(base) = 0 AND text IS NOT NULL").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(texts)
     words = (
         found.where("size(base) = 0").join(F.broadcast(clean.distinct()), "doc_id")  # at most ``texts`` ids
-        .select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)))).alias("value"))
+        .select(F.xxhash64("text").alias("t"), F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)))).alias("value"))
+        .groupBy("value").agg(F.countDistinct("t").alias("n")).where("n > 1")
     )
     return chosen.select("value", F.lit(True).alias("random")).unionByName(words.select("value", F.lit(False).alias("random")))
 

@@ -3,16 +3,23 @@
 from __future__ import annotations
 
 import pytest
+import xxhash
 
 from strataflow.llm import linededup
 
 SCHEMA = "doc_id bigint, text string, runs int, start int, n_lines string"
 
 
+def text_hash(text):
+    """As Spark's ``xxhash64``, which orders texts of one doc_id."""
+    digest = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), 42)
+    return digest - (1 << 64) if digest >> 63 else digest
+
+
 def plain(data, least):
     """Lines in a run of ``least`` words that stands wholly before it."""
     docs = []
-    for i, text in sorted(set(data), key=lambda d: (d[0] is None, d[0] or 0)):
+    for i, text in sorted(set(data), key=lambda d: (d[0] is None, d[0] or 0, text_hash(d[1]))):
         lines = [x.strip(" \t\n\x0b\x0c\r") for x in (text or "").split("\n")]
         real = [(n, x, len(x.split())) for n, x in enumerate(lines) if x]
         docs.append((i, text, real))

@@ -29,7 +29,7 @@ def test_every_source_stays_less_than_one_block_from_its_share(weights):
 @pytest.mark.parametrize("targets", [None, {"a": 3, "b": 1, None: 1}])
 def test_rows_are_kept_and_follow_the_schedule(spark, targets):
     data = [(i, "a" if i % 3 else "b", "t") for i in range(900)] + [(i, None, None) for i in range(40)] + [(None, "a", ""), (5, "a", "tie"), (5, "a", "tie")]
-    docs = spark.createDataFrame([(*d, "clash", 1) for d in data], SCHEMA).drop("_key")
+    docs = spark.createDataFrame([(*d, "clash", 1) for d in data], SCHEMA)
     rows = mixing.mix(docs, targets, block=4, frame=20).collect()
     assert Counter((r.doc_id, r.source, r.text) for r in rows) == Counter(data)
     taken = {}
