@@ -84,12 +84,14 @@ def likeness(left: Column, right: Column) -> Column:
     return F.when(left == right, F.lit(1.0)).otherwise(F.get(F.transform(F.array(pair), share), F.lit(0)))
 
 
+#: Stands for a null doc_id, which comes last in descending order.
+NO_ID = -(1 << 63)
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Rows by doc_id (null before all others) and a hash of the text."""
+    """Texts by doc_id and a hash of the text."""
     text = F.coalesce("text", F.lit(""))
-    return docs.select(
-        "doc_id", text.alias("text"), F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_id"), F.xxhash64(text).alias("_hash")
-    )
+    return docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.xxhash64(text).alias("_hash"), text.alias("text"))
 
 
 def next_keys(keys: DataFrame) -> DataFrame:
@@ -120,26 +122,28 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
 
     A null text is an empty one. Rows that repeat doc_id and text stand once in the
     order and get the same result. A table of one document has itself as the next.
+    A null doc_id comes last in the order (one of -2^63 is taken for null).
+
+    Texts are shuffled once, by an exchange that both joins use, and from there the
+    next document sends only the code points that are asked for.
     """
     rows = _keyed(docs)
-    base = written(
-        rows.dropDuplicates(["_id", "_hash"]).select("_id", "_hash", F.length("text").cast("bigint").alias("n_chars"), vector(F.col("text")).alias("vector")),
-        "multiset-vectors",
-    )
-    chain = next_keys(base.select("_id", "_hash", F.floor(F.col("n_chars") / 3).cast("int").alias("_k")))
-    chain = written(chain, "multiset-chain")
-    # the next document sends only the code points that are asked for
+    chars = F.length("text").cast("bigint")
+    keys = rows.select("_id", "_hash", chars.alias("n_chars")).distinct()
+    chain = written(next_keys(keys.withColumn("_k", F.floor(F.col("n_chars") / 3).cast("int"))), "multiset-chain")
     asked = chain.select(F.col("next_id").alias("_id"), F.col("next_hash").alias("_hash"), "_k",
                          F.col("_id").alias("to_id"), F.col("_hash").alias("to_hash"))
     sent = (
-        rows.dropDuplicates(["_id", "_hash"]).join(asked, ["_id", "_hash"]).join(base.select("_id", "_hash", F.col("vector").alias("next_vector")), ["_id", "_hash"])
-        .select(F.col("to_id").alias("_id"), F.col("to_hash").alias("_hash"), F.expr("left(text, _k)").alias("_tail"), "_k", "next_vector")
+        rows.join(asked, ["_id", "_hash"])
+        .select(F.col("to_id").alias("_id"), F.col("to_hash").alias("_hash"),
+                F.struct(F.expr("left(text, _k)").alias("tail"), "_k", vector(F.col("text")).alias("vector")).alias("next"))
+        .groupBy("_id", "_hash").agg(F.first("next").alias("next"))  # one of the rows that repeat the next document
     )
-    text = F.concat(F.expr("left(text, n_chars - _k)"), F.col("_tail"))
+    edited = F.concat(F.expr("left(text, CAST(length(text) - next._k AS INT))"), F.col("next.tail"))
     return (
-        rows.join(sent, ["_id", "_hash"]).join(base, ["_id", "_hash"])
-        .withColumn("edited", text).withColumn("edited_vector", vector(F.col("edited")))
-        .select("doc_id", "n_chars", "edited", "vector", "edited_vector", "next_vector")
+        rows.join(sent, ["_id", "_hash"]).withColumn("edited", edited)
+        .select(F.nullif("_id", F.lit(NO_ID)).alias("doc_id"), chars.alias("n_chars"), "edited", vector(F.col("text")).alias("vector"),
+                vector(F.col("edited")).alias("edited_vector"), F.col("next.vector").alias("next_vector"))
     )
 
 
