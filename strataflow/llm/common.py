@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gc
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of stages whose result is written. It does
+    so when the driver collects its garbage, which can be long after the stage. What
+    the first pass frees in Python and in listeners, the second one finds."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
+
+
 def partitions(spark: SparkSession) -> int:
     """The number of shuffle partitions the session is sized for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,23 +16,29 @@ from strataflow.llm.common import documents, written
 CATEGORIES = (("low_quality", "quality = 0"), ("toxic", "toxic = 1"))
 #: Labelled rows the models are fitted on at most; the ones of least hash are taken.
 TRAIN_ROWS = 20_000
-VOCABULARY = 1 << 15
+VOCABULARY = 1 << 14
 MIN_DOCUMENTS = 3
 PREFIXES = (4, 5)
-FOLDS = 3
-THRESHOLD = 0.4
+FOLDS = 2
+THRESHOLD = 0.3
 ITERATIONS = 30
 PENALTY = 5e-4
 
 
 def terms(text: Column) -> Column:
-    """Words in lower case and the beginnings of longer words, which catch inflections."""
-    found = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    """Words in lower case, the beginnings of longer words, which catch inflections, and style."""
+    text = F.coalesce(text, F.lit(""))
+    found = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     starts = (
         F.transform(F.filter(found, lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.lit("^"), F.substring(w, 1, n)))
         for n in PREFIXES
     )
-    return F.concat(found, *starts)
+    # two marks of style, in steps: how much is not letters, and how few of the words are different ones
+    length = F.greatest(F.length(text), F.lit(1))
+    signs = F.floor(20 * F.length(F.regexp_replace(text, r"[\p{L}\s]+", "")) / length)
+    variety = F.floor(20 * F.size(F.array_distinct(found)) / F.greatest(F.size(found), F.lit(1)))
+    style = F.array(F.concat(F.lit("~signs "), signs), F.concat(F.lit("~variety "), variety))
+    return F.concat(found, *starts, style)
 
 
 def _fit(rows: DataFrame, label: str, features: str):
@@ -76,15 +82,15 @@ class Chain:
         rows = docs.drop(*probabilities)
         if self.vectorizer is None:
             return rows.withColumns({p: F.lit(None).cast("double") for p in probabilities})
-        given = rows.columns
-        rows = self.vectorizer.transform(rows.withColumn("_terms", terms(F.col("text"))))
+        rows = rows.select(F.struct("*").alias("_doc"), terms(F.col("text")).alias("_terms"))  # no name can clash
+        rows = self.vectorizer.transform(rows)
         features = "_features"
         for i, (probability, model) in enumerate(zip(probabilities, self.models)):
             rows = _predict(model, rows, probability)
             if i + 1 < len(self.models):
                 rows = _extend(rows, probability, features, f"_features{i}")
                 features = f"_features{i}"
-        return rows.select(*given, *probabilities)
+        return rows.select("_doc.*", *probabilities)
 
 
 def fit_chain(
@@ -109,16 +115,15 @@ def fit_chain(
                     *(f"y_{n}" for n in names)),
         "toxicity-sample",
     )
-    if not rows.where("size(_terms) > 0").limit(1).count():
+    if not rows.limit(1).count():
         return Chain(names, None, [])
-    vectorizer = CountVectorizer(
-        inputCol="_terms", outputCol="_features", binary=True, vocabSize=VOCABULARY, minDF=1.0
-    )
-    if rows.count() >= 20 * MIN_DOCUMENTS:
-        vectorizer = vectorizer.setMinDF(float(MIN_DOCUMENTS))
-    vectorizer = vectorizer.fit(rows)
+    least = MIN_DOCUMENTS if rows.count() >= 20 * MIN_DOCUMENTS else 1
+    frequency = rows.select(F.explode(F.array_distinct("_terms")).alias("term")).groupBy("term").count()
+    top = frequency.where(F.col("count") >= least).orderBy(F.desc("count"), "term").limit(VOCABULARY).collect()
+    vectorizer = CountVectorizerModel.from_vocabulary([r.term for r in top], "_terms", "_features").setBinary(True)
     # the sample is bounded, and with few partitions a step of the fit is one short stage
     rows = vectorizer.transform(rows).drop("_terms").repartition(4).persist()
+    kept = [rows]
     models, features = [], "_features"
     for i, name in enumerate(names):
         models.append(_fit(rows, f"y_{name}", features))
@@ -132,7 +137,10 @@ def fit_chain(
         for part in parts[1:]:
             united_parts = united_parts.unionByName(part)
         rows = _extend(united_parts, f"p_{name}", features, f"_features{i}").drop(features).persist()
+        kept.append(rows)
         features = f"_features{i}"
+    for sample_rows in kept:
+        sample_rows.unpersist()
     return Chain(names, vectorizer, models)
 
 
