@@ -15,14 +15,14 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import documents
+from strataflow.llm.common import documents, small_batches
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Bytes of text a task encodes at once, unless one text alone has more.
-CHUNK_BYTES = 4 << 20
-#: Words whose ids a Python worker remembers from task to task. A full memory starts
-#: anew; ids do not depend on it.
-MEMORY_WORDS = 1_000_000
+CHUNK_BYTES = 5 << 18
+#: Words whose ids a Python worker remembers from task to task, in its database. A full
+#: memory starts anew; ids do not depend on it.
+MEMORY_WORDS = 700_000
 
 _MERGE = """
 WITH RECURSIVE state(word, pos, token) USING KEY (word, pos) AS (
@@ -51,7 +51,7 @@ WITH RECURSIVE state(word, pos, token) USING KEY (word, pos) AS (
         )
     ))
 )
-SELECT word, list(token ORDER BY pos) AS ids FROM state WHERE token IS NOT NULL GROUP BY word ORDER BY word
+SELECT word, list(token ORDER BY pos) AS ids FROM state WHERE token IS NOT NULL GROUP BY word
 """
 
 _DECODE = """
@@ -82,7 +82,7 @@ class Codec:
     def __init__(self, path: str, pattern: str):
         self.ranks = load_ranks(path)
         self.pattern = regex.compile(pattern)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         splits = [
             (self.ranks[t[:i]], self.ranks[t[i:]], rank)
             for t, rank in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks
@@ -93,7 +93,11 @@ class Codec:
             "token": pa.array(list(self.ranks.values()), pa.int32()), "hex": pa.array([t.hex() for t in self.ranks]),
         })
         self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], "i4")
-        self.memory: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.db.execute("CREATE OR REPLACE TABLE memory (word BLOB, ids INTEGER[])")
+        self.known = 0
 
     def _table(self, name: str, columns: dict) -> None:
         self.db.register("incoming", pa.table(columns))
@@ -104,12 +108,15 @@ class Codec:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         pieces = [self.pattern.findall(t) if t else [] for t in texts]
         flat = pa.array([p for doc in pieces for p in doc], pa.large_string()).dictionary_encode()
-        listed = flat.dictionary.to_pylist()
-        new = [w for w in listed if w not in self.memory]
-        if len(self.memory) + len(new) > MEMORY_WORDS:
-            self.memory, new = {}, listed
-        self._learn(new)
-        ids = [self.memory[w] for w in listed]
+        listed = flat.dictionary.cast(pa.large_binary())
+        self._table("asked", {"row": pa.array(np.arange(len(listed))), "word": listed})
+        if self.known + len(listed) > MEMORY_WORDS:
+            self._forget()
+        self._learn(self.db.sql("SELECT word FROM asked ANTI JOIN memory USING (word) ORDER BY row").to_arrow_table()["word"].to_pylist())
+        lists = self.db.sql("SELECT ids FROM asked JOIN memory USING (word) ORDER BY row").to_arrow_table()["ids"].combine_chunks()
+        values = lists.values.to_numpy().astype("<u4").tobytes()
+        bounds = (lists.offsets.to_numpy().astype(np.int64) * 4).tolist()
+        ids = [values[a:b] for a, b in zip(bounds, bounds[1:])]
         found = flat.indices.to_numpy().tolist()
         ends = np.cumsum([len(p) for p in pieces]).tolist()
         return [
@@ -117,31 +124,30 @@ class Codec:
             for text, doc, end in zip(texts, pieces, ends)
         ]
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[bytes]) -> None:
         """Contract the bytes of each new word until no pair is left that makes a token.
 
         A round contracts the pair of least rank in each word, leftmost first,
         at all of its places that do not overlap.
         """
-        raw = [w.encode() for w in new]
-        for word, text in zip(new, raw):
-            if text in self.ranks:
-                self.memory[word] = self.ranks[text].to_bytes(4, "little")
-        rest = [(w, t) for w, t in zip(new, raw) if t not in self.ranks]
+        self.known += len(new)
+        whole = [w for w in new if w in self.ranks]  # a token as it is
+        rest = [w for w in new if w not in self.ranks]
+        self._table("words", {
+            "word": pa.array(whole, pa.large_binary()), "ids": pa.array([[self.ranks[w]] for w in whole], pa.list_(pa.int32())),
+        })
+        self.db.execute("INSERT INTO memory FROM words")
         if not rest:
             return
-        lengths = np.array([len(t) for _, t in rest])
+        lengths = np.array([len(w) for w in rest])
         ends = np.cumsum(lengths)
         self._table("start", {
             "word": pa.array(np.repeat(np.arange(len(rest), dtype="i4"), lengths)),
             "pos": pa.array((np.arange(ends[-1]) - np.repeat(ends - lengths, lengths)).astype("i4")),
-            "token": pa.array(self.byte[np.frombuffer(b"".join(t for _, t in rest), "u1")]),
+            "token": pa.array(self.byte[np.frombuffer(b"".join(rest), "u1")]),
         })
-        lists = self.db.sql(_MERGE).to_arrow_table().column("ids").combine_chunks()
-        values = lists.values.to_numpy().astype("<u4").tobytes()
-        bounds = (lists.offsets.to_numpy().astype(np.int64) * 4).tolist()
-        for (word, _), start, end in zip(rest, bounds, bounds[1:]):
-            self.memory[word] = values[start:end]
+        self._table("words", {"number": pa.array(np.arange(len(rest), dtype="i4")), "word": pa.array(rest, pa.large_binary())})
+        self.db.execute(f"INSERT INTO memory SELECT w.word, m.ids FROM ({_MERGE}) m JOIN words w ON w.number = m.word")
 
     def decode(self, encoded: list[bytes | None]) -> list[bytes | None]:
         """The bytes that each list of ids stands for."""
@@ -185,7 +191,7 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
     Memory is bounded by a chunk of text, or by the longest single text.
     """
     columns = [c for c in docs.columns if c != ids]
-    source = docs.select(*columns)
+    source = small_batches(docs.select(*columns))
     schema = source.select("*", F.lit(None).cast("array<int>").alias(ids)).schema
     at = columns.index(text)
 
@@ -222,7 +228,7 @@ def encode_checked(docs: DataFrame, path: str, pattern: str = public_tokenizers.
     """``encode``, and a column ``round_trip``: whether the decoded ids are the text
     (null for a null text)."""
     columns = [c for c in docs.columns if c not in ("ids", "round_trip")]
-    source = docs.select(*columns)
+    source = small_batches(docs.select(*columns))
     schema = source.select("*", F.lit(None).cast("array<int>").alias("ids"), F.lit(None).cast("boolean").alias("round_trip")).schema
     at = columns.index("text")
 
@@ -250,7 +256,7 @@ def _lists(encoded: list[bytes | None]) -> pa.Array:
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Encode and decode every text (null as empty) in one pass and keep their digests."""
-    source = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    source = small_batches(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_for(path, public_tokenizers.PATTERN)

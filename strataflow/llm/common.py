@@ -29,6 +29,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that hands texts to Python in batches of 8 MB: Spark's
+    default of 64 MB, held by the JVM and the worker, is much beside an executor's
+    other memory. A session with a setting of its own keeps it."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if df.sparkSession.conf.get(key) == "67108864b":
+        df.sparkSession.conf.set(key, "8m")
+    return df
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of stages whose result is written. It does
     so when the driver collects its garbage, which can be long after the stage. What

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import documents, written
+from strataflow.llm.common import documents, small_batches, written
 
 #: Words from which on a repeated run of lines is deleted.
 MIN_WORDS = 50
@@ -29,7 +29,7 @@ def line_windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     two copies of the run select the same minimum, and each line of the run lies
     in some window of it.
     """
-    source = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
+    source = small_batches(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
