@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import documents, words, written
+from strataflow.llm.common import documents, small_batches, words, written
 from strataflow.llm.components import connected_components, forest
 
 SHINGLE = 3
@@ -35,7 +35,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id", t
     Words are split at ASCII white space with A-Z in lower case; a text shorter
     than one shingle is one shingle, a null, empty or blank text has fingerprint 0.
     """
-    source = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    source = small_batches(docs).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,6 +227,9 @@ def _compare(group, stored, ids, prints, sketches, radius, similarity, most: int
 BINS = 192
 #: Fingerprints of a document when near copies are looked for.
 SEEDS = 5
+#: Words of at most so many bytes are left out of the fingerprints of words: texts of
+#: one language share them, whether they are alike or not.
+COMMON_BYTES = 4
 EMPTY = 0xFF
 
 
@@ -252,12 +255,12 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, seed
 
     A similarity of 0.8 moves the fingerprint of the shingles by some ten bits, more
     than any exact candidate search covers. The words themselves change far less, so
-    candidates come from SimHash fingerprints of the distinct words, one a seed, at
-    three or fewer differing bits; the shingles then decide, by sketch. Equal texts
+    candidates come from SimHash fingerprints of the distinct longer words, one a
+    seed, at three or fewer differing bits; the shingles then decide, by sketch. Equal texts
     are one node, so all exact copies are linked. Null and empty texts are equal.
     A null doc_id is never a component's name.
     """
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    source = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -284,7 +287,8 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, seed
 
 
 def _word_prints(tokens: list[bytes], seeds: int) -> list[int]:
-    distinct = list(set(tokens))
+    every = set(tokens)
+    distinct = [w for w in every if len(w) > COMMON_BYTES] or list(every)
     out = np.zeros(seeds, "u8")
     for seed in range(seeds if distinct else 0):
         hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in distinct), "u8", len(distinct))
