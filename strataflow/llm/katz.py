@@ -8,10 +8,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import documents, partitions, words, written
+from strataflow.llm.common import documents, partitions, release, small_batches, words, written
+from strataflow.session import delete_path, scratch_path
 
 #: Counts up to this one are discounted by Good-Turing.
 DISCOUNTED = 5
@@ -26,6 +28,15 @@ _BLOCK = (
     "block bigint, doc_ids array<bigint>, held array<boolean>, ends array<bigint>, tokens binary, "
     "vocabulary array<bigint>, n_tokens bigint"
 )
+
+def _pack(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(values).tobytes())
+
+
+def _unpack(packed: bytes, dtype) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype)
+
+
 _ASKED = "bucket bigint, block bigint, kind int, keys binary, sums binary"
 
 
@@ -39,7 +50,7 @@ def token_blocks(docs: DataFrame) -> DataFrame:
     from here on: two of n distinct words share one with a chance of n^2 / 2^65.
     The end, and the start as a context, have the hash of the empty word.
     """
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    source = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -83,7 +94,7 @@ class _Block:
             "doc_ids": pa.array([self.doc_ids], pa.list_(pa.int64())),
             "held": pa.array([self.held]),
             "ends": pa.array([self.ends], pa.list_(pa.int64())),
-            "tokens": pa.array([np.concatenate(self.parts).tobytes()], pa.binary()),
+            "tokens": pa.array([_pack(np.concatenate(self.parts))], pa.binary()),
             "vocabulary": pa.array([hashes], pa.list_(pa.int64())),
             "n_tokens": pa.array([self.size], pa.int64()),
         })
@@ -96,7 +107,7 @@ class _View:
         self.block = row["block"].as_py()
         self.doc_ids, self.held = row["doc_ids"].as_py(), np.array(row["held"].as_py(), bool)
         self.ends = row["ends"].values.to_numpy().astype(np.int64)
-        self.word = np.frombuffer(row["tokens"].as_py(), "u4")
+        self.word = _unpack(row["tokens"].as_py(), "u4")
         self.vocabulary = row["vocabulary"].values.to_numpy().view("u8")
         self.context = np.zeros_like(self.word)
         self.context[1:] = self.word[:-1]
@@ -128,29 +139,38 @@ def _mix(context: np.ndarray, word: np.ndarray) -> np.ndarray:
 # -- sums over all blocks ---------------------------------------------------
 
 
-def _ask(block: int, kind: int, keys: np.ndarray, sums: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """One row per bucket with the block's distinct keys of it and their sums."""
+def _dealt(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """Order of the keys by bucket and key, the buckets, and where each begins and ends."""
     home = (keys >> np.uint64(1)) % np.uint64(buckets)
     order = np.lexsort((keys, home))
-    home, keys, sums = home[order], keys[order], sums[order]
-    cuts = np.flatnonzero(np.diff(home, prepend=home[:1] + np.uint64(1) if len(home) else home))
-    ends = [*cuts[1:], len(home)] if len(cuts) else []
+    home = home[order]
+    first = np.flatnonzero(np.r_[True, home[1:] != home[:-1]]) if len(home) else np.zeros(0, int)
+    return order, home[first].astype("i8"), list(zip(first, [*first[1:], len(home)]))
+
+
+def _ask(block: int, kind: int, keys: np.ndarray, sums: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """One row per bucket with the block's distinct keys of it, in order, and their sums."""
+    order, homes, spans = _dealt(keys, buckets)
+    keys, sums = keys[order], sums[order]
     return pa.record_batch({
-        "bucket": pa.array(home[cuts].astype("i8")),
-        "block": pa.array([block] * len(cuts), pa.int64()),
-        "kind": pa.array([kind] * len(cuts), pa.int32()),
-        "keys": pa.array([keys[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-        "sums": pa.array([sums[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+        "bucket": pa.array(homes),
+        "block": pa.array([block] * len(spans), pa.int64()),
+        "kind": pa.array([kind] * len(spans), pa.int32()),
+        "keys": pa.array([keys[a:b].tobytes() for a, b in spans], pa.binary()),
+        "sums": pa.array([_pack(sums[a:b]) for a, b in spans], pa.binary()),
     })
 
 
-def _answered(rows: pa.Table, kind: int, keys: np.ndarray, dtype, column: str) -> np.ndarray:
-    """The answers to a block's questions in the order of ``keys``."""
-    chosen = rows.filter(pa.compute.equal(rows["kind"], kind))
-    got = np.concatenate([np.zeros(0, "u8"), *(np.frombuffer(k.as_py(), "u8") for k in chosen["keys"])])
-    values = np.concatenate([np.zeros(0, dtype), *(np.frombuffer(v.as_py(), dtype) for v in chosen[column])])
-    order = np.argsort(got)
-    return values[order][np.searchsorted(got[order], keys)]
+def _answered(rows: pa.Table, kind: int, keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Corpus counts of a block's keys, and which of them it stands for."""
+    order, _, spans = _dealt(keys, buckets)
+    mine = rows.filter(pa.compute.equal(rows["kind"], kind)).sort_by("bucket")
+    counts, own = np.zeros(len(keys), "i8"), np.zeros(len(keys), bool)
+    if len(keys):
+        counts[order] = np.concatenate([_unpack(c.as_py(), "i8") for c in mine["counts"]])
+        bits = (np.unpackbits(np.frombuffer(o.as_py(), "u1"), count=b - a) for o, (a, b) in zip(mine["own"], spans))
+        own[order] = np.concatenate(list(bits)).astype(bool)
+    return counts, own
 
 
 def _questions(blocks: DataFrame, buckets: int) -> DataFrame:
@@ -174,15 +194,15 @@ def ngram_counts(blocks: DataFrame, buckets: int) -> DataFrame:
     """The counts of all n-grams, a table partitioned by bucket.
 
     Rows of ``block`` null hold the model: distinct keys and counts of a bucket, by
-    kind. The others answer a block: the corpus counts of the keys it asked for,
-    and in ``own`` whether the block is the one that stands for the key.
+    kind. The others answer a block: the corpus counts of the keys it asked for, in
+    their order, and in ``own`` whether the block is the one that stands for the key.
     ``histogram`` has the number of keys by count up to DISCOUNTED + 1, then all
     keys, then all tokens.
     """
     def count(table: pa.Table) -> pa.Table:
         kind, bucket = table["kind"][0].as_py(), table["bucket"][0].as_py()
         keys = [np.frombuffer(k.as_py(), "u8") for k in table["keys"]]
-        sums = [np.frombuffer(s.as_py(), "i4") for s in table["sums"]]
+        sums = [_unpack(s.as_py(), "i4") for s in table["sums"]]
         distinct, first, where = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         total = np.bincount(where, np.concatenate(sums)).astype("i8")
         own = np.zeros(len(where), bool)
@@ -195,9 +215,9 @@ def ngram_counts(blocks: DataFrame, buckets: int) -> DataFrame:
             "bucket": pa.array([bucket] * (n + 1), pa.int64()),
             "block": pa.array([None, *table["block"].to_pylist()], pa.int64()),
             "kind": pa.array([kind] * (n + 1), pa.int32()),
-            "keys": pa.array([distinct[total > 0].tobytes(), *(k.tobytes() for k in keys)], pa.binary()),
-            "counts": pa.array([seen.tobytes(), *(found[a:b].tobytes() for a, b in zip(bounds, bounds[1:]))], pa.binary()),
-            "own": pa.array([b"", *(np.packbits(own[a:b]).tobytes() for a, b in zip(bounds, bounds[1:]))], pa.binary()),
+            "keys": pa.array([distinct[total > 0].tobytes(), *[None] * n], pa.binary()),
+            "counts": pa.array([_pack(seen), *(_pack(found[a:b]) for a, b in zip(bounds, bounds[1:]))], pa.binary()),
+            "own": pa.array([None, *(np.packbits(own[a:b]).tobytes() for a, b in zip(bounds, bounds[1:]))], pa.binary()),
             "histogram": pa.array([histogram, *[None] * n], pa.list_(pa.int64())),
         })
 
@@ -258,9 +278,8 @@ def _partial(model: Model, buckets: int):
         if not block.num_rows:
             return pa.table({k: pa.array(v, _PARTIAL[k]) for k, v in empty.items()}, schema=pa.schema(_PARTIAL))
         view = _View({name: block[name][0] for name in block.column_names})
-        single = _answered(answers, 1, view.vocabulary, "i8", "counts")
-        pair = _answered(answers, 2, view.pairs, "i8", "counts")
-        own = _own(answers, view.pairs)
+        single, _ = _answered(answers, 1, view.vocabulary, buckets)
+        pair, own = _answered(answers, 2, view.pairs, buckets)
         p = model.single(single)
         context_n = single[view.pair_context]  # events of a context: a word is followed as often as it occurs
         # contexts in the order of the vocabulary: discounted mass, and p of the words seen after them
@@ -313,27 +332,16 @@ _PARTIAL_SQL = (
 )
 
 
-def _own(answers: pa.Table, keys: np.ndarray) -> np.ndarray:
-    chosen = answers.filter(pa.compute.equal(answers["kind"], 2))
-    got, own = [np.zeros(0, "u8")], [np.zeros(0, "u1")]
-    for k, bits in zip(chosen["keys"], chosen["own"]):
-        got.append(np.frombuffer(k.as_py(), "u8"))
-        own.append(np.unpackbits(np.frombuffer(bits.as_py(), "u1"), count=len(got[-1])))
-    got, own = np.concatenate(got), np.concatenate(own)
-    order = np.argsort(got)
-    return own[order][np.searchsorted(got[order], keys)].astype(bool)
-
-
 def _context_sums(table: pa.Table) -> pa.Table:
     """Sums over all blocks for the contexts of one bucket, sent back to each block."""
     keys = [np.frombuffer(k.as_py(), "u8") for k in table["keys"]]
-    sums = np.concatenate([np.frombuffer(s.as_py(), "f8").reshape(-1, 2) for s in table["sums"]])
+    sums = np.concatenate([_unpack(s.as_py(), "f8").reshape(-1, 2) for s in table["sums"]])
     _, where = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.stack([np.bincount(where, sums[:, i]) for i in (0, 1)], 1)[where]
     bounds = np.cumsum([0, *map(len, keys)])
     return pa.table({
-        "block": table["block"], "kind": pa.array([3] * len(keys), pa.int32()), "keys": table["keys"],
-        "sums": pa.array([total[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary()),
+        "block": table["block"], "keys": table["keys"],
+        "sums": pa.array([_pack(total[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary()),
     })
 
 
@@ -344,8 +352,10 @@ def _finish(model: Model):
             return _SCORES.empty_table()
         row = block["docs"][0].as_py()
         keys = np.array(row["waiting_context"], "i8").view("u8")
-        doubled = _answered(answers, 3, np.repeat(keys, 1), np.dtype((np.void, 16)), "sums") if len(keys) else np.zeros(0, "V16")
-        freed, seen_p = doubled.view("f8").reshape(-1, 2).T if len(keys) else np.zeros((2, 0))
+        got = np.concatenate([np.zeros(0, "u8"), *(np.frombuffer(k.as_py(), "u8") for k in answers["keys"])])
+        sums = np.concatenate([np.zeros((0, 2)), *(_unpack(v.as_py(), "f8").reshape(-1, 2) for v in answers["sums"])])
+        order = np.argsort(got)
+        freed, seen_p = sums[order][np.searchsorted(got[order], keys)].T
         events = np.array(row["waiting_events"], "f8")
         added = np.where(freed > 0, 0.0, 1.0)  # one event more if nothing was freed
         left = np.where(freed > 0, freed, 1.0) / (events + added)
@@ -380,20 +390,26 @@ def score_documents(docs: DataFrame) -> DataFrame:
     a null text is empty and has its end alone. Rows that share a doc_id are scored
     one by one. An empty table gives no rows.
     """
-    blocks = written(token_blocks(docs), "katz-blocks")
+    spark = docs.sparkSession
+    folder = scratch_path(spark, "katz-blocks")
+    token_blocks(docs).write.parquet(folder)
+    blocks = spark.read.schema(_BLOCK).parquet(folder)
     tokens = blocks.agg(F.sum("n_tokens")).first()[0] or 0
-    buckets = max(partitions(docs.sparkSession), -(-tokens // BUCKET_TOKENS))
+    buckets = max(partitions(spark), -(-tokens // BUCKET_TOKENS))
     counts = written(ngram_counts(blocks, buckets), "katz-counts")
+    release(spark)  # the questions, the largest shuffle, are answered
     width = DISCOUNTED + 3
     sums = counts.where("block IS NULL").groupBy("kind").agg(*(F.sum(F.col("histogram")[i]).alias(f"h{i}") for i in range(width)))
     histograms = {r["kind"]: [r[f"h{i}"] for i in range(width)] for r in sums.collect()}  # one row a kind
     nothing = [0] * width
     model = Model(histograms.get(1, nothing), histograms.get(2, nothing))
-    answers = counts.where("block IS NOT NULL").select("block", "kind", "keys", "counts", "own")
+    answers = counts.where("block IS NOT NULL").select("block", "bucket", "kind", "counts", "own")
     partial = written(
         blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_partial(model, buckets), _PARTIAL_SQL), "katz-partial"
     )
-    contexts = partial.where("bucket IS NOT NULL").groupBy("bucket").applyInArrow(_context_sums, "block bigint, kind int, keys binary, sums binary")
+    delete_path(spark, folder)  # all that is needed from here on is in ``partial``
+    release(spark)
+    contexts = partial.where("bucket IS NOT NULL").groupBy("bucket").applyInArrow(_context_sums, "block bigint, keys binary, sums binary")
     rows = partial.where("docs IS NOT NULL").select("block", "docs")
     return rows.groupBy("block").cogroup(contexts.groupBy("block")).applyInArrow(
         _finish(model), "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
