@@ -125,15 +125,12 @@ def candidate_keys(prints: DataFrame) -> DataFrame:
     return listed.select(key.alias("key"), "id", (F.col("at") == 0).alias("stored"))
 
 
-def near_edges(prints: DataFrame, radius: int = RADIUS, sketches: DataFrame | None = None, similarity: float = 0.0) -> DataFrame:
+def near_edges(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``(a, b)`` links of ids that join the same components as all pairs with
-    fingerprints of one seed at ``radius`` or fewer differing bits and, if
-    ``sketches(id, sketch)`` are given, an estimated ``similarity`` at least.
+    fingerprints of one seed at ``radius`` or fewer differing bits.
 
     Every candidate of a key is compared; of the links found a task keeps a
     spanning forest, so a group of copies makes rows in proportion to its size.
-    A key with more than ``BLOCK`` rows is dealt out as pairs of blocks, each
-    compared in a task of its own.
     """
     if radius > RADIUS:
         raise ValueError("the keys find fingerprints at up to 3 differing bits")
@@ -141,26 +138,15 @@ def near_edges(prints: DataFrame, radius: int = RADIUS, sketches: DataFrame | No
     sizes = keys.groupBy("key").agg(F.count("*").alias("n"), F.max("stored").alias("held"))
     shared = written(sizes.where("held AND n > 1").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "simhash-shared")
     found = written(keys.join(shared, "key"), "simhash-candidates")
-    roles = F.when(F.col("stored"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))
-    dealt = (
-        found.withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-        .withColumn("stored", F.explode(roles))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "key",
-            F.when(F.col("stored"), F.col("own")).otherwise(F.col("other")).alias("left"),
-            F.when(F.col("stored"), F.col("other")).otherwise(F.col("own")).alias("right"),
-            "stored", "id", F.floor(F.col("key") / SEED_KEYS).cast("int").alias("seed"),
-        )
-    ).join(prints, ["id", "seed"])
-    dealt = dealt.join(sketches, "id") if sketches is not None else dealt.withColumn("sketch", F.lit(None).cast("binary"))
-    columns = ("key", "left", "right", "stored", "id", "fp", "sketch")
-    parts = dealt.select(*columns).repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
+    dealt = _dealt(found).withColumn("seed", F.floor(F.col("key") / SEED_KEYS).cast("int")).join(prints, ["id", "seed"])
+    parts = _grouped(dealt.withColumn("sketch", F.lit(None).cast("binary")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple[np.ndarray, np.ndarray]] = []
-        for group, columns in _whole_groups(batches):
-            kept.append(forest(*_compare(group, *columns, radius, similarity)))
+        for group, (stored, ids, fps, _) in _whole_groups(batches):
+            near = lambda x, y: (np.bitwise_count((fps[x] ^ fps[y]).view("u8")) <= radius) & (ids[x] != ids[y])
+            x, y = _compare(group, stored, near)
+            kept.append(forest(ids[x], ids[y]))
             if sum(len(x) for x, _ in kept) > 1 << 20:
                 kept = [forest(*map(np.concatenate, zip(*kept)))]
                 if len(kept[0][0]) > 1 << 19:
@@ -173,6 +159,29 @@ def near_edges(prints: DataFrame, radius: int = RADIUS, sketches: DataFrame | No
     return parts.mapInArrow(run, "a bigint, b bigint")
 
 
+def _dealt(found: DataFrame) -> DataFrame:
+    """``found(key, id, stored, blocks)`` with each row in every pair of blocks it takes
+    part in: a key with more than ``BLOCK`` rows is dealt out as pairs of blocks, each
+    compared in a task of its own. A stored row is looked up as well."""
+    roles = F.when(F.col("stored"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))
+    return (
+        found.withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+        .withColumn("stored", F.explode(roles))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "key",
+            F.when(F.col("stored"), F.col("own")).otherwise(F.col("other")).alias("left"),
+            F.when(F.col("stored"), F.col("other")).otherwise(F.col("own")).alias("right"),
+            "stored", "id",
+        )
+    )
+
+
+def _grouped(dealt: DataFrame) -> DataFrame:
+    columns = ("key", "left", "right", "stored", "id", "fp", "sketch")
+    return dealt.select(*columns).repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
+
+
 def _whole_groups(batches: Iterator[pa.RecordBatch]):
     """Batches cut at group ends; a group has at most about two blocks of rows."""
     rest: list[np.ndarray] | None = None
@@ -194,8 +203,8 @@ def _whole_groups(batches: Iterator[pa.RecordBatch]):
         yield np.zeros(len(rest[0]), np.int64), rest[3:]
 
 
-def _compare(group, stored, ids, prints, sketches, radius, similarity, most: int = 1 << 21):
-    """Pairs of a stored and a looked-up row of the same group that verify."""
+def _compare(group, stored, good, most: int = 1 << 21):
+    """Places ``(x, y)`` of a stored and a looked-up row of the same group that are ``good(x, y)``."""
     held, asked = np.flatnonzero(stored), np.flatnonzero(~stored)
     starts = np.searchsorted(group[held], group[asked], "left")
     counts = np.searchsorted(group[held], group[asked], "right") - starts
@@ -208,28 +217,21 @@ def _compare(group, stored, ids, prints, sketches, radius, similarity, most: int
         first = np.repeat(starts[at:upto], n)
         offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         x, y = held[first + offset], np.repeat(asked[at:upto], n)
-        good = (np.bitwise_count((prints[x] ^ prints[y]).view("u8")) <= radius) & (ids[x] != ids[y])
-        x, y = x[good], y[good]
-        if similarity:
-            good = np.concatenate([np.zeros(0, bool), *(
-                estimate(sketches[x[i:i + 4096]], sketches[y[i:i + 4096]]) >= similarity for i in range(0, len(x), 4096)
-            )])
-            x, y = x[good], y[good]
-        a.append(ids[x])
-        b.append(ids[y])
+        kept = good(x, y)
+        a.append(x[kept])
+        b.append(y[kept])
         at = upto
     return np.concatenate(a), np.concatenate(b)
 
 
-# -- near copies by several fingerprints and a sketch -------------------------
+# -- near copies by exact prefixes of shingles --------------------------------
 
 #: Bins of a document's sketch, a byte each; the standard error at a similarity of 0.8 is 0.029.
 BINS = 192
-#: Fingerprints of a document when near copies are looked for.
-SEEDS = 5
-#: Words of at most so many bytes are left out of the fingerprints of words: texts of
-#: one language share them, whether they are alike or not.
-COMMON_BYTES = 4
+#: Documents, about, whose shingles tell the common ones, and the most of those kept. Both
+#: only set the order of shingles: any order finds all pairs, this one in small groups.
+SAMPLE = 8192
+COMMON = 1 << 16
 EMPTY = 0xFF
 
 
@@ -249,57 +251,159 @@ def estimate(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return ((left == right) & used).sum(1) / np.maximum(used.sum(1), 1)
 
 
-def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, seeds: int = SEEDS) -> DataFrame:
+def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """``(doc_id, component_id)`` of documents alike in ``similarity`` of their
     five-word shingles or more.
 
-    A similarity of 0.8 moves the fingerprint of the shingles by some ten bits, more
-    than any exact candidate search covers. The words themselves change far less, so
-    candidates come from SimHash fingerprints of the distinct longer words, one a
-    seed, at three or fewer differing bits; the shingles then decide, by sketch. Equal texts
-    are one node, so all exact copies are linked. Null and empty texts are equal.
-    A null doc_id is never a component's name.
+    Candidates come from an exact prefix filter. With all shingles in one order, two
+    sets of a Jaccard similarity of s share one of the first n - ceil(s n) + 1 of each,
+    so every pair shares a key. Shingles common in a sample come last in that order.
+    First each text of a key is compared with the key's least one; where a key then
+    still holds several components, all its pairs across them are compared. Equal
+    texts are one node, so all exact copies are linked. Null and empty texts are
+    equal. A null doc_id is never a component's name.
     """
     source = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    common = _common_shingles(source, shingle)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             texts = [words(t.as_py() or b"") for t in batch.column(1)]
-            drawn = [_word_prints(t, seeds) for t in texts]
+            hashes = [_xxh64(b" ".join(t)) for t in texts]
+            sizes, prints, keys = [], [], []
+            for tokens, text_hash in zip(texts, hashes):
+                grams = _shingles(tokens, shingle)
+                sizes.append(len(grams))
+                prints.append(sketch(grams).tobytes())
+                keys.append(None if text_hash in seen else _prefix(grams, common, similarity).view("i8"))
+                seen.add(text_hash)
             yield pa.record_batch({
-                "doc_id": batch.column(0),
-                "text_hash": pa.array(np.array([_xxh64(b" ".join(t)) for t in texts], "u8").view("i8")),
-                "prints": pa.array(drawn, pa.list_(pa.int64())),
-                "sketch": pa.array([_shingle_sketch(t, shingle).tobytes() for t in texts], pa.binary()),
+                "doc_id": batch.column(0), "text_hash": pa.array(np.array(hashes, "u8").view("i8")),
+                "n": pa.array(sizes, pa.int32()), "sketch": pa.array(prints, pa.binary()), "keys": pa.array(keys, pa.list_(pa.int64())),
             })
 
-    rows = written(source.mapInArrow(run, "doc_id bigint, text_hash bigint, prints array<bigint>, sketch binary"), "near-copies")
+    rows = written(source.mapInArrow(run, "doc_id bigint, text_hash bigint, n int, sketch binary, keys array<bigint>"), "near-copies")
     nodes = written(
-        rows.groupBy("text_hash").agg(F.min("doc_id").alias("least"), F.min("prints").alias("prints"), F.min("sketch").alias("sketch"))
+        rows.groupBy("text_hash").agg(F.min("doc_id").alias("least"), F.min("sketch").alias("sketch"))
         .withColumnRenamed("text_hash", "id"), "near-copies-nodes"
     )
-    prints = nodes.select("id", F.posexplode("prints").alias("seed", "fp"))
-    roots = connected_components(near_edges(prints, RADIUS, nodes.select("id", "sketch"), similarity))
+    keys = rows.select(F.explode("keys").alias("key"), F.col("text_hash").alias("id"), "n")
+    held = keys.repartition("key").sortWithinPartitions("key", "id").mapInArrow(
+        _shared_keys(similarity), "key bigint, id bigint, least bigint, comparable boolean, several boolean"
+    )
+    held = written(held, "near-copies-keys")
+    first = held.where("comparable").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
+    links = written(_alike(first, nodes, similarity), "near-copies-links")
+    more = _across(held.where("several").select("key", "id"), connected_components(links), nodes, similarity)
+    roots = connected_components(links.unionByName(written(more, "near-copies-links")))
     rooted = nodes.select("id", "least").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(names, "root").select(F.col("id").alias("text_hash"), "component_id")
     return rows.select("doc_id", "text_hash").join(named, "text_hash").select("doc_id", "component_id")
 
 
-def _word_prints(tokens: list[bytes], seeds: int) -> list[int]:
-    every = set(tokens)
-    distinct = [w for w in every if len(w) > COMMON_BYTES] or list(every)
-    out = np.zeros(seeds, "u8")
-    for seed in range(seeds if distinct else 0):
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in distinct), "u8", len(distinct))
-        out[seed] = _majority(hashes)
-    return out.view("i8").tolist()
-
-
-def _shingle_sketch(tokens: list[bytes], shingle: int) -> np.ndarray:
+def _shingles(tokens: list[bytes], shingle: int) -> np.ndarray:
+    """Distinct hashes of the shingles, in order; a shorter text is one shingle."""
     size = max(1, min(shingle, len(tokens)))
     grams = map(b" ".join, zip(*(tokens[i:] for i in range(size))))
-    return sketch(np.fromiter(map(_xxh64, grams), "u8"))
+    return np.unique(np.fromiter(map(_xxh64, grams), "u8"))
+
+
+def _common_shingles(source: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles met several times in a sample, in order of the hash, and how often."""
+    sample = source.where(F.pmod(F.xxhash64("text"), F.lit(max(1, source.count() // SAMPLE))) == 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(1):
+                yield pa.record_batch({"gram": pa.array(_shingles(words(text.as_py() or b""), shingle).view("i8"))})
+
+    counts = sample.mapInArrow(run, "gram bigint").groupBy("gram").agg(F.count("*").alias("n")).where("n > 3")
+    top = counts.orderBy(F.desc("n"), "gram").limit(COMMON).toArrow()
+    grams, often = top["gram"].to_numpy().view("u8"), top["n"].to_numpy()
+    order = np.argsort(grams)
+    return grams[order], often[order]
+
+
+def _prefix(grams: np.ndarray, common: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """The shingles, rarest first, of which one at least is shared by any set this alike."""
+    known, often = common
+    rank = np.zeros(len(grams), np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+        rank = np.where(known[at] == grams, often[at], 0)
+    must = int(np.ceil(similarity * len(grams) - 1e-9))
+    return grams[np.lexsort((grams, rank))[:len(grams) - must + 1]]
+
+
+def _shared_keys(similarity: float):
+    """Rows ``(key, id, n)`` in order of key and id, each but the first id of a key with
+    that first one, whether sizes allow the similarity, and whether the key has others."""
+
+    def found(key, ids, n):
+        new = np.ones(len(key), bool)  # a text that several tasks read comes several times
+        new[1:] = (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])
+        key, ids, n = key[new], ids[new], n[new]
+        start = np.flatnonzero(np.diff(key, prepend=key[0] - 1) != 0)
+        size = np.diff(start, append=len(key))
+        head = np.repeat(start, size)
+        rest = head != np.arange(len(key))
+        fits = np.minimum(n, n[head]) >= similarity * np.maximum(n, n[head]) - 1e-9
+        return pa.record_batch({
+            "key": pa.array(key[rest]), "id": pa.array(ids[rest]), "least": pa.array(ids[head][rest]),
+            "comparable": pa.array(fits[rest]), "several": pa.array(np.repeat(size > 2, size)[rest]),
+        })
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for batch in batches:
+            columns = [batch.column(i).to_numpy() for i in range(3)]
+            if kept is not None:
+                columns = [np.concatenate(pair) for pair in zip(kept, columns)]
+            if not len(columns[0]):
+                continue
+            last = int(np.searchsorted(columns[0], columns[0][-1]))
+            kept = [c[last:] for c in columns]
+            if last:
+                yield found(*(c[:last] for c in columns))
+        if kept is not None:
+            yield found(*kept)
+
+    return run
+
+
+def _alike(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """The ``pairs(a, b)`` whose sketches are that similar."""
+    for side in ("a", "b"):
+        pairs = pairs.join(nodes.select(F.col("id").alias(side), F.col("sketch").alias(f"sketch_{side}")), side)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "u1").reshape(-1, BINS) for i in (2, 3))
+            yield batch.select(["a", "b"]).filter(pa.array(estimate(left, right) >= similarity))
+
+    return pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, "a bigint, b bigint")
+
+
+def _across(members: DataFrame, roots: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``(a, b)`` of ``members(key, id)`` of one key in different components
+    whose sketches are that similar."""
+    placed = members.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("fp", F.coalesce("root", "id")).drop("root")
+    sizes = placed.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("low"), F.max("fp").alias("high"))
+    parted = sizes.where("low <> high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    rows = written(placed.join(parted, "key").withColumn("stored", F.lit(True)), "near-copies-across")
+    dealt = _dealt(rows).join(rows.select("id", "fp").distinct(), "id").join(nodes.select("id", "sketch"), "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, (stored, ids, root, prints) in _whole_groups(batches):
+            x, y = _compare(group, stored, lambda x, y: (ids[x] < ids[y]) & (root[x] != root[y]))
+            for i in range(0, len(x), 4096):
+                p, q = x[i:i + 4096], y[i:i + 4096]
+                good = estimate(prints[p], prints[q]) >= similarity
+                yield pa.record_batch({"a": pa.array(ids[p[good]]), "b": pa.array(ids[q[good]])})
+
+    return _grouped(dealt).mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 # -- operator ---------------------------------------------------------------

@@ -134,3 +134,35 @@ def test_one_of_each_group_is_kept(spark):
     docs = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in data], SCHEMA)
     kept = simhash.keep_first(docs, simhash.simhash_components(docs))
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "9", "None"]
+
+
+def changed_copies(rng, base, vocabulary):
+    """Copies with words appended, cut off, or a block replaced, from 0.8 of similarity on."""
+    n = len(base)
+    new = lambda k: [rng.choice(vocabulary) for _ in range(k)]
+    for part in (0.1, 0.15, 0.2):
+        yield base + new(int(part * n))
+    for part in (0.1, 0.15, 0.18):
+        yield base[:n - int(part * n)]
+    for part in (0.05, 0.08):
+        k = int(part * n)
+        at = rng.randrange(n - k)
+        yield base[:at] + new(k) + base[at + k:]
+
+
+def test_appended_cut_and_replaced_copies_are_candidates(spark):
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.choice([2, 3, 7]))) for _ in range(3000)]
+    texts = []
+    for _ in range(40):  # each base with one copy of each kind, apart from the other copies
+        for kind in range(8):
+            base = [rng.choice(vocabulary) for _ in range(rng.randint(200, 400))]
+            texts += [base, list(changed_copies(rng, base, vocabulary))[kind]]
+    docs = spark.createDataFrame([(i, " ".join(t), "x", 1, 2) for i, t in enumerate(texts)], SCHEMA)
+    found = {r.doc_id: r.component_id for r in simhash.near_copies(docs).collect()}
+    sets = [shingles(" ".join(t)) for t in texts]
+    alike = [len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, len(texts), 2)]
+    clear = [2 * i for i, x in enumerate(alike) if x >= 0.9]
+    assert len(clear) > 30 and all(found[i] == found[i + 1] for i in clear)
+    near = [2 * i for i, x in enumerate(alike) if x >= 0.8]
+    assert sum(found[i] == found[i + 1] for i in near) > 0.75 * len(near) > 150
