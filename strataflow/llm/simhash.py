@@ -233,6 +233,8 @@ BINS = 192
 SAMPLE = 8192
 COMMON = 1 << 16
 EMPTY = 0xFF
+#: So far below the similarity a sketch passes a pair on: five standard errors.
+MARGIN = 0.15
 
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
@@ -259,8 +261,9 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> D
     sets of a Jaccard similarity of s share one of the first n - ceil(s n) + 1 of each,
     so every pair shares a key. Shingles common in a sample come last in that order.
     First each text of a key is compared with the key's least one; where a key then
-    still holds several components, all its pairs across them are compared. Equal
-    texts are one node, so all exact copies are linked. Null and empty texts are
+    still holds several components, all its pairs across them are compared. A sketch
+    with a margin drops pairs that are far apart; the shingles of the others decide.
+    Equal texts are one node, so all exact copies are linked. Null and empty texts are
     equal. A null doc_id is never a component's name.
     """
     source = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
@@ -294,9 +297,9 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> D
     )
     held = written(held, "near-copies-keys")
     first = held.where("comparable").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
-    links = written(_alike(first, nodes, similarity), "near-copies-links")
-    more = _across(held.where("several").select("key", "id"), connected_components(links), nodes, similarity)
-    roots = connected_components(links.unionByName(written(more, "near-copies-links")))
+    links = _verified(_alike(first, nodes, similarity - MARGIN), source, shingle, similarity)
+    more = _across(held.where("several").select("key", "id"), connected_components(links), nodes, similarity - MARGIN)
+    roots = connected_components(links.unionByName(_verified(more, source, shingle, similarity)))
     rooted = nodes.select("id", "least").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(names, "root").select(F.col("id").alias("text_hash"), "component_id")
@@ -386,6 +389,44 @@ def _alike(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     return pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, "a bigint, b bigint")
 
 
+def _verified(pairs: DataFrame, source: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The ``pairs(a, b)`` of text hashes whose sets of shingles have that Jaccard similarity."""
+    pairs = written(pairs, "near-copies-pairs")
+    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            hashes = [_xxh64(b" ".join(words(t.as_py() or b""))) for t in batch.column(0)]
+            new = [h not in seen and not seen.add(h) for h in hashes]
+            ids = pa.array(np.array(hashes, "u8").view("i8"))
+            yield pa.record_batch({"id": ids, "text": batch.column(0)}).filter(pa.array(new, pa.bool_()))
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [_shingles(words(t.as_py() or b""), shingle).tobytes() for t in batch.column(1)]
+            yield pa.record_batch({"id": batch.column(0), "grams": pa.array(sets, pa.binary())})
+
+    texts = source.select("text").mapInArrow(hashed, "id bigint, text binary").join(wanted, "id", "left_semi")
+    sets = texts.select("id", "text").mapInArrow(gathered, "id bigint, grams binary").groupBy("id").agg(F.min("grams").alias("grams"))
+    sets = written(sets, "near-copies-sets")
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("grams").alias(f"grams_{side}")), side)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = [_jaccard(batch.column(2)[i].as_py(), batch.column(3)[i].as_py()) >= similarity for i in range(batch.num_rows)]
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return written(pairs.select("a", "b", "grams_a", "grams_b").mapInArrow(run, "a bigint, b bigint"), "near-copies-links")
+
+
+def _jaccard(left: bytes, right: bytes) -> float:
+    a, b = np.frombuffer(left, "u8"), np.frombuffer(right, "u8")
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return shared / max(1, len(a) + len(b) - shared)
+
+
 def _across(members: DataFrame, roots: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """Pairs ``(a, b)`` of ``members(key, id)`` of one key in different components
     whose sketches are that similar."""

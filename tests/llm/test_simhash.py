@@ -166,3 +166,38 @@ def test_appended_cut_and_replaced_copies_are_candidates(spark):
     assert len(clear) > 30 and all(found[i] == found[i + 1] for i in clear)
     near = [2 * i for i, x in enumerate(alike) if x >= 0.8]
     assert sum(found[i] == found[i + 1] for i in near) > 0.75 * len(near) > 150
+
+
+def test_exactly_the_pairs_from_four_fifths_are_linked(spark):
+    rng = random.Random(12)
+    texts = []
+    for i in range(300):  # each text with one copy cut at the end, at similarities about 0.8
+        base = [f"{i}w{k}" for k in range(rng.randint(8, 300))]
+        texts += [base, base[:max(5, round(rng.uniform(0.77, 0.84) * len(base)))]]
+    docs = spark.createDataFrame([(i, " ".join(t), "x", 1, 2) for i, t in enumerate(texts)], SCHEMA)
+    found = {r.doc_id: r.component_id for r in simhash.near_copies(docs).collect()}
+    sets = [shingles(" ".join(t)) for t in texts]
+    alike = [len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, len(texts), 2)]
+    assert 50 < sum(x >= 0.8 for x in alike) < 250
+    assert [found[2 * i + 1] == 2 * i for i in range(300)] == [x >= 0.8 for x in alike]
+
+
+def test_links_across_components_of_a_key(spark):
+    # neither text is like the least text of the keys they share, but they are like each other
+    rng = random.Random(3)
+    texts = []
+    for i in range(30):
+        word = [f"{i}w{k}" for k in range(200)]
+        own = [f"{i}o{k}" for k in range(200)]
+        texts += [word, word[:40] + own, word[:40] + own[:190], word[:30] + own[:5] + own]
+    rng.shuffle(texts)
+    docs = spark.createDataFrame([(i, " ".join(t), "x", 1, 2) for i, t in enumerate(texts)], SCHEMA)
+    found = [r.component_id for r in sorted(simhash.near_copies(docs).collect())]
+    sets = [shingles(" ".join(t)) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                low, high = sorted((root[i], root[j]))
+                root = [low if x == high else x for x in root]
+    assert found == root
