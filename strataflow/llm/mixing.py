@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
+from itertools import batched
 from math import isqrt
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import documents, partitions
+from strataflow.llm.common import documents, partitions, written
 
 #: Documents a block holds; the last one of a source may hold fewer.
 BLOCK = 16
 #: Slots of one round of the schedule; a target weight is a whole number of them.
 FRAME = 1000
+#: Slots for each source where sources are more than the slots of ``FRAME``.
+SLOTS = 10
 #: Columns that mixing adds.
 ADDED = ("block", "place", "slot", "release", "deadline", "share")
 
@@ -43,24 +48,26 @@ def schedule(given: dict[str, int]) -> list[tuple[str, int, int]]:
     so each block meets its window, which is the Pfair property: at every slot a
     source is less than one block away from its exact share.
     """
+    return list(_slots(given))
+
+
+def _slots(given: dict[str, int]) -> Iterator[tuple[str, int, int]]:
     frame = sum(given.values())
     waiting = [(0, -(-frame // a), k, 0) for k, a in given.items()]
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []
-    plan = []
     for slot in range(frame):
         while waiting and waiting[0][0] <= slot:
             _, due, k, j = heapq.heappop(waiting)
             heapq.heappush(ready, (due, k, j))
         _, k, j = heapq.heappop(ready)
-        plan.append((k, j, slot))
+        yield k, j, slot
         if j + 1 < given[k]:
             a = given[k]
             heapq.heappush(waiting, ((j + 1) * frame // a, -(-(j + 2) * frame // a), k, j + 1))
-    return plan
 
 
-def mix(docs: DataFrame, targets: dict[str | None, int] | None = None, block: int = BLOCK, frame: int = FRAME) -> DataFrame:
+def mix(docs: DataFrame, targets: dict[str | None, int] | None = None, block: int = BLOCK, frame: int | None = None) -> DataFrame:
     """``docs`` with the slot of each row's block in the mixture; sorting by
     ``slot, place`` gives the mixture.
 
@@ -69,7 +76,9 @@ def mix(docs: DataFrame, targets: dict[str | None, int] | None = None, block: in
     source is a source. Inside a source rows come in the order of the MD5 of their
     doc_id (null as empty), then doc_id. The schedule repeats every ``frame`` slots,
     so a block's slot follows from its number and nothing is simulated over the
-    data. Once a source has run out its slots stay empty and every other row keeps
+    data. By default a frame has ``FRAME`` slots, or ``SLOTS`` for each source if there
+    are more than ``FRAME`` sources. One task makes the schedule of a frame, holding one
+    entry a source. Once a source has run out its slots stay empty and every other row keeps
     its slot: no row is dropped or repeated. Columns named as the added ones are
     replaced; an empty table gives no rows.
     """
@@ -82,25 +91,22 @@ def mix(docs: DataFrame, targets: dict[str | None, int] | None = None, block: in
     offsets = counts.select(
         "__mix_key", "__mix_range", (F.sum("n").over(W.partitionBy("__mix_key").orderBy("__mix_range")) - F.col("n")).alias("__mix_offset")
     )
-    sizes = counts.groupBy("__mix_key").agg(F.sum("n").alias("n")).limit(frame + 1).collect()  # at most a frame of sources
-    if targets is None:
-        weights = {r["__mix_key"]: isqrt(r.n) for r in sizes}
-    else:
-        named = {"" if k is None else f"={k}": w for k, w in targets.items()}
-        weights = {r["__mix_key"]: named.get(r["__mix_key"], 0) for r in sizes}
-    given = shares(weights, frame)
-    spark = docs.sparkSession
-    plan = spark.createDataFrame(
-        [(k, j, slot, given[k]) for k, j, slot in (schedule(given) if given else [])],
-        "__mix_key string, __mix_turn bigint, __mix_slot bigint, share bigint",
-    )
+    sizes = written(counts.groupBy("__mix_key").agg(F.sum("n").alias("n")), "mixing-sizes")
+    sources = sizes.count()
+    if frame is None:
+        frame = FRAME if sources <= FRAME else SLOTS * sources
+    if sources > frame:
+        raise ValueError(f"{sources} sources need a frame of at least as many slots, not {frame}")
+    named = None if targets is None else {"" if k is None else f"={k}": w for k, w in targets.items()}
+    plan = written(sizes.repartition(1).mapInArrow(_planned(named, frame), PLAN), "mixing-plan")
     order = W.partitionBy("__mix_key", "__mix_range").orderBy("__mix_hash", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), "doc_id")
     numbered = rows.withColumn("__mix_row", F.row_number().over(order).cast("bigint")).join(offsets, ["__mix_key", "__mix_range"])
     number = F.col("__mix_row") + F.col("__mix_offset") - 1
     placed = numbered.withColumns({"block": F.floor(number / block), "place": number % block})
-    # frame rows at most, which is the bound of this broadcast
-    turned = placed.join(F.broadcast(plan.select("__mix_key", "share").distinct()), "__mix_key").withColumn("__mix_turn", F.col("block") % F.col("share"))
-    timed = turned.join(F.broadcast(plan.drop("share")), ["__mix_key", "__mix_turn"])
+    # a frame of the fixed size bounds these broadcasts; for a larger one Spark chooses
+    held = F.broadcast if frame <= FRAME else lambda df: df
+    turned = placed.join(held(plan.select("__mix_key", "share").distinct()), "__mix_key").withColumn("__mix_turn", F.col("block") % F.col("share"))
+    timed = turned.join(held(plan.drop("share")), ["__mix_key", "__mix_turn"])
     return timed.withColumns({
         "slot": F.floor(F.col("block") / F.col("share")) * frame + F.col("__mix_slot"),
         "release": F.floor(F.col("block") * frame / F.col("share")),
@@ -108,6 +114,28 @@ def mix(docs: DataFrame, targets: dict[str | None, int] | None = None, block: in
     }).select(*(c for c in docs.columns if c not in ADDED), *ADDED)
 
 
+PLAN = "__mix_key string, __mix_turn bigint, __mix_slot bigint, share bigint"
+
+
+def _planned(named: dict[str, int] | None, frame: int):
+    """All ``(key, rows)`` of a table to the rows of one frame."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = {}
+        for batch in batches:
+            for k, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                weights[k] = isqrt(n) if named is None else named.get(k, 0)
+        given = shares(weights, frame) if weights else {}
+        for rows in batched(_slots(given), 1 << 14):
+            keys, turns, slots = zip(*rows)
+            yield pa.record_batch({
+                "__mix_key": pa.array(keys, pa.string()), "__mix_turn": pa.array(turns, pa.int64()),
+                "__mix_slot": pa.array(slots, pa.int64()), "share": pa.array([given[k] for k in keys], pa.int64()),
+            })
+
+    return run
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir).select("doc_id", "source"))
 

@@ -56,3 +56,16 @@ def test_empty_table_and_too_many_sources(spark):
     assert mixing.mix(spark.createDataFrame([], SCHEMA)).count() == 0
     with pytest.raises(ValueError, match="frame"):
         mixing.mix(spark.range(30).selectExpr("id AS doc_id", "string(id) AS source"), frame=20)
+
+
+def test_more_sources_than_the_fixed_frame_has_slots(spark):
+    docs = spark.range(6000).selectExpr("id AS doc_id", "IF(id < 2500, string(id % 1250), 'large') AS source")
+    rows = mixing.mix(docs, block=4).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(6000))
+    taken = {}
+    for r in rows:
+        assert taken.setdefault(r.slot, (r.source, r.block)) == (r.source, r.block)
+        assert r.release <= r.slot < r.deadline and 0 <= r.place < 4
+    share = {r.source: r.share for r in rows}
+    assert len(share) == 1251 and sum(share.values()) == 12510
+    assert share["large"] > 10 * max(v for k, v in share.items() if k != "large")
