@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import bpe, hnsw, katz, licenses, linededup, mixing, multiset, secrets, simhash, toxicity
+from strataflow.llm import bpe, hnsw, katz, licenses, linededup, mixing, multiset, periodicity, secrets, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_katz": katz.op1_katz,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hnsw": hnsw.op8_hnsw,
     "op9_simhash": simhash.op9_simhash,
     "op10_line_dedup": linededup.op10_line_dedup,
+    "op11_periodic_runs": periodicity.op11_periodic_runs,
 }
 
 #: Queries whose rows SQL can give on whole tables; the tests compare the others
