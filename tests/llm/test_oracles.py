@@ -25,4 +25,4 @@ def test_query(spark, key):
 
 
 def test_one_query_per_operator():
-    assert [k.split("_")[0] for k in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [k.split("_")[0] for k in QUERIES] == [f"op{n}" for n in range(1, 14)]
