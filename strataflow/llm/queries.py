@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import bpe, hnsw, infill, katz, licenses, linededup, mixing, multiset, periodicity, secrets, simhash, toxicity
+from strataflow.llm import bpe, hnsw, infill, katz, licenses, linededup, mixing, multiset, packing, periodicity, secrets, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_katz": katz.op1_katz,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": linededup.op10_line_dedup,
     "op11_periodic_runs": periodicity.op11_periodic_runs,
     "op12_fill_in_middle": infill.op12_fill_in_middle,
+    "op13_packing": packing.op13_packing,
 }
 
 #: Queries whose rows SQL can give on whole tables; the tests compare the others

@@ -1,0 +1,146 @@
+"""Packing: every token once, limits kept, little padding, ids as the library gives them."""
+
+from __future__ import annotations
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from strataflow.llm import packing
+from strataflow.llm.common import documents
+from strataflow.llm.packing import Limits
+
+SF_DIR = "/root/testdata/sf0.001"
+PATH = public_tokenizers.path(packing.VOCABULARY)
+SCHEMA = "doc_id bigint, text string, length int, ids string, sequence_id int, _ids int, _text int"
+
+
+@pytest.fixture(scope="module")
+def plain():
+    tokenizer = Tokenizer.from_file(PATH)
+    return lambda text: [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+
+
+def sequences(rows):
+    found = defaultdict(list)
+    for r in rows:
+        found[r.sequence_id].append(r)
+    for pieces in found.values():
+        pieces.sort(key=lambda r: r.offset)
+        assert [r.offset for r in pieces] == np.cumsum([0, *(r.length for r in pieces)])[:-1].tolist()
+    return list(found.values())
+
+
+def test_test_table(spark, plain):
+    texts = {r.doc_id: r.text for r in documents(spark, SF_DIR).select("doc_id", "text").collect()}
+    rows = packing.op13_packing(spark, SF_DIR).collect()
+    ids = {i: plain(t) for i, t in texts.items()}
+    covered = defaultdict(list)
+    for r in rows:
+        assert r.doc_tokens == len(ids[r.doc_id])
+        assert r.ids_crc32 == zlib.crc32(np.array(ids[r.doc_id][r.start:r.start + r.length], "<u4").tobytes())
+        covered[r.doc_id].append((r.start, r.start + r.length))
+    assert set(covered) == set(texts)
+    for i, spans in covered.items():
+        spans.sort()
+        assert spans[0][0] == 0 and spans[-1][1] == len(ids[i]) and all(a[1] == b[0] and a[0] < a[1] for a, b in zip(spans, spans[1:]))
+    for pieces in sequences(rows):
+        assert len(pieces) <= Limits().segments
+        tokens = sum(r.length for r in pieces)
+        assert tokens <= 2048 and tokens & (tokens - 1) == 0  # no padding at all
+
+
+def test_ids_of_odd_texts(spark, plain):
+    rng = random.Random(2)
+    letters = ["a", "B", "İ", "Σ", "ß", "́", "̣", "é", "ｆ", "一", "😀", " ", "\n", "\t", "\x0b", " ", "\x1c", "　", "'s", "'", "0", "19", "!?", "\x00", "﻿", "<|endoftext|>", "<|start"]
+    texts = ["", " ", "x" * 5000, "<|endoftext|>", "a<|startoftext|>b", *("".join(rng.choice(letters) for _ in range(rng.randrange(1, 50))) for _ in range(1500))]
+    data = [*enumerate(texts), (None, None), (7, "tie"), (7, "tie")]
+    docs = spark.createDataFrame([(i, t, 1, "c", 2, 3, 4) for i, t in data], SCHEMA)
+    got = sorted((str(r.doc_id), np.frombuffer(r.ids, "<u4").tolist()) for r in packing.word_ids(docs, PATH).collect())
+    assert got == sorted((str(i), plain(t)) for i, t in data)
+
+
+def test_memory_does_not_change_ids(monkeypatch, plain):
+    monkeypatch.setattr(packing, "MEMORY_WORDS", 3)
+    known = packing.WordIds(PATH)
+    for text in ("one two three", "two four", "one two three four five"):
+        assert np.frombuffer(known.encode([text.encode()], 1)[0], "<u4").tolist() == plain(text)
+
+
+def examples(rng, count, top, bearing):
+    for key in range(count):
+        n = rng.choice([0, 1, 2, rng.randrange(1, top), rng.randrange(1, 30)])
+        if n:
+            yield key, np.arange(n, dtype="<u4") + 1000 * key, None if bearing is None else np.array([rng.random() < bearing for _ in range(n)], np.uint8)
+
+
+@pytest.mark.parametrize("cut", [True, False])
+@pytest.mark.parametrize("bearing", [None, 0.0, 0.3, 1.0])
+@pytest.mark.parametrize("limits", [Limits(64, 4, 64), Limits(100, 1, 30), Limits(256, 1000, 20), Limits(1, 1, 1)])
+def test_limits(limits, bearing, cut, monkeypatch):
+    rng = random.Random(limits.tokens)
+    monkeypatch.setattr(packing, "POOL", rng.choice([8, 200]))
+    data = list(examples(rng, 150, 300, bearing))
+    covered = defaultdict(list)
+    for pieces in packing.pack_pieces(iter(data), limits, cut):
+        tokens, loss = sum(p.length for p in pieces), sum(p.bearing for p in pieces)
+        assert 0 < tokens <= limits.tokens and len(pieces) <= limits.segments and loss <= limits.loss
+        assert not cut or tokens == limits.tokens or tokens & (tokens - 1) == 0
+        for p in pieces:
+            covered[p.key] += [(p.base + p.start, p.ids[p.start:p.end].tolist(), p.bearing)]
+    for key, ids, bears in data:
+        parts = sorted(covered[key])
+        assert [i for _, part, _ in parts for i in part] == ids.tolist()
+        assert sum(n for _, _, n in parts) == (len(ids) if bears is None else bears.sum())
+        if not cut and len(ids) <= limits.tokens and (len(ids) if bears is None else bears.sum()) <= limits.loss:
+            assert len(parts) == 1
+
+
+def test_whole_examples_leave_little_padding():
+    rng = random.Random(9)
+    data = [(k, np.zeros(rng.randrange(20, 1500), "<u4"), None) for k in range(3000)]
+    filled = [sum(p.length for p in pieces) for pieces in packing.pack_pieces(iter(data), Limits(2048, 64, 2048), False)]
+    assert sum(filled) / (2048 * len(filled)) > 0.98
+
+
+def test_instruction_examples(spark, plain):
+    """Conversations as examples, whole, of which only answers bear loss."""
+    turns = spark.read.parquet(f"{SF_DIR}/conversations.parquet")
+    coded = packing.word_ids(turns, PATH, keys=("conv_id", "turn", "role"))
+    flag = F.when(F.col("role") == "assistant", F.lit(b"\x01")).otherwise(F.lit(b"\x00")).cast("string")
+    coded = coded.withColumn("bears", F.expr("decode(ids, 'ISO-8859-1')")).withColumn("bears", F.repeat(flag, (F.length("bears") / 4).cast("int")))
+    whole = coded.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "ids", "bears"))).alias("t")).selectExpr(
+        "conv_id", "unhex(array_join(transform(t, x -> hex(x.ids)), '')) AS ids", "cast(array_join(transform(t, x -> x.bears), '') AS binary) AS bears")
+    limits = Limits(512, 8, 200)
+    rows = packing.pack(whole, limits, ("conv_id",), bears_loss="bears", cut=False).collect()
+    held = {r.conv_id: (bytes(r.ids), bytes(r.bears)) for r in whole.collect()}
+    tokens = defaultdict(int)
+    for pieces in sequences(rows):
+        assert len(pieces) <= 8 and sum(r.length for r in pieces) <= 512
+        assert sum(sum(held[r.conv_id][1][r.start:r.start + r.length]) for r in pieces) <= 200
+        for r in pieces:
+            assert bytes(r.ids) == held[r.conv_id][0][4 * r.start:4 * (r.start + r.length)]
+            tokens[r.conv_id] += r.length
+    assert all(tokens[c] == len(ids) // 4 for c, (ids, _) in held.items()) and len(held) > 10
+
+
+def test_edge_cases(spark, plain):
+    data = [(None, None), (None, "one two"), (3, ""), (3, ""), (4, "long text " * 20_000), (5, None)]
+    docs = spark.createDataFrame([(i, t, 1, "c", 2, 3, 4) for i, t in data], SCHEMA).repartition(3)
+    rows = packing.pack(packing.word_ids(docs, PATH)).collect()
+    assert sum(r.length for r in rows) == sum(len(plain(t)) for _, t in data)
+    assert sorted(str(r.doc_id) for r in rows if not r.start) == sorted(str(i) for i, _ in data)
+    sequences(rows)
+    none = spark.createDataFrame([(1, None, None), (2, b"", None)], "doc_id int, ids binary, bears binary")
+    assert packing.pack(none, bears_loss="bears").collect() == []
+    assert packing.pack(packing.word_ids(spark.createDataFrame([], SCHEMA), PATH)).collect() == []
+    with pytest.raises(ValueError):
+        packing.pack(docs, keys=("length",))
+    with pytest.raises(Exception, match="one byte for each token"):
+        packing.pack(none.selectExpr("doc_id", "unhex('01000000') AS ids", "unhex('0101') AS bears"), bears_loss="bears").collect()
