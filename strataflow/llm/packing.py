@@ -12,10 +12,12 @@ need no padding.
 from __future__ import annotations
 
 import os
+import re
 from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -30,8 +32,9 @@ from strataflow.llm.common import documents, small_batches
 VOCABULARY = "word_bpe_49k.json"
 #: The id that ends a document.
 END = 1
-#: Words whose ids a Python worker remembers from task to task; a full memory starts anew.
-MEMORY_WORDS = 500_000
+#: Words and parts of words whose ids a Python worker remembers from task to task, apart
+#: from those of one chunk; a full memory starts anew.
+MEMORY_WORDS = 400_000
 #: Bytes of text a task tokenizes at once, unless one text alone has more.
 CHUNK_BYTES = 4 << 20
 #: Examples from which a task chooses; it packs when it holds so many, down to half.
@@ -281,9 +284,18 @@ def _words_of(path: str) -> "WordIds":
     return WordIds(path)
 
 
+#: Words whose parts are encoded each by itself: of printable ASCII without the apostrophe,
+#: which alone joins letters behind it, and accented Latin letters, without the beginning
+#: of a special token.
+_ACCENTED = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]"
+_SIMPLE = re.compile(rb"(?:(?!<\|)[!-&(-~]|" + _ACCENTED + rb")*")
+_PART = re.compile(rb"(?:[a-z]|" + _ACCENTED + rb")+|[0-9]|[!-/:-`{-~]+")
+
+
 class WordIds:
-    """Ids of texts word by word: neither the normalizer nor the splitting of this kind of
-    vocabulary looks past white space, so the ids of a text are those of its words."""
+    """Ids of texts from those of their parts. Neither the normalizer nor the splitting of
+    this kind of vocabulary looks past white space, nor in a simple word past the places
+    where letters, digits and marks meet; so parts are encoded once and remembered."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -292,25 +304,46 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.memory: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[bytes], end: int | None) -> list[bytes]:
-        split = [t.split() for t in texts]
-        flat = pa.array([w for doc in split for w in doc], pa.large_binary()).dictionary_encode()
-        words = flat.dictionary.to_pylist()
-        new = [w for w in words if w not in self.memory]
-        if len(self.memory) + len(new) > MEMORY_WORDS:
-            self.memory, new = {}, words
-        for start in range(0, len(new), 10_000):
-            part = new[start:start + 10_000]
-            for word, found in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-                self.memory[word] = np.array(found.ids, "<u4").tobytes()
+    def encode(self, texts: pa.Array, end: int | None) -> list[bytes]:
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        flat = split.flatten().dictionary_encode()
+        words = flat.dictionary.cast(pa.large_binary()).to_pylist()
+        self._learn(words)
         ids = [self.memory[w] for w in words]
-        places = flat.indices.to_numpy().tolist()
+        lengths = np.array([len(i) // 4 for i in ids], np.int64)
+        begins = np.cumsum(lengths) - lengths
+        places = flat.indices.to_numpy()
+        counts = lengths[places]
+        ends = np.cumsum(counts)
+        tokens = np.repeat(begins[places] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)
+        found = np.frombuffer(b"".join(ids), "<u4")[tokens].tobytes()
+        bounds = np.concatenate([[0], 4 * ends])[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
         tail = b"" if end is None else end.to_bytes(4, "little")
-        out, at = [], 0
-        for doc in split:
-            out.append(b"".join([*[ids[k] for k in places[at:at + len(doc)]], tail]))
-            at += len(doc)
-        return out
+        return [found[a:b] + tail for a, b in zip(bounds[:-1], bounds[1:])]
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Remember the ids of ``words`` and of the parts of those that are simple."""
+        known = self.memory
+        new = [w for w in words if w not in known]
+        if len(known) + len(new) > MEMORY_WORDS:
+            known = self.memory = {}
+            new = words
+        parts = [_PART.findall(w.lower()) if _SIMPLE.fullmatch(w) else [w] for w in new]
+        self._ask([p for p in dict.fromkeys(chain.from_iterable(parts)) if p not in known])
+        for word, some in zip(new, parts):
+            if word not in known:
+                known[word] = b"".join([known[p] for p in some])
+
+    def _ask(self, parts: list[bytes]) -> None:
+        for start in range(0, len(parts), 10_000):
+            some = parts[start:start + 10_000]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)]
+            ends = np.cumsum([len(i) for i in found]) * 4
+            flat = np.fromiter(chain.from_iterable(found), "<u4", int(ends[-1]) // 4).tobytes()
+            at = 0
+            for part, to in zip(some, ends.tolist()):
+                self.memory[part] = flat[at:to]
+                at = to
 
 
 def _chunks(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
@@ -337,7 +370,7 @@ def word_ids(docs: DataFrame, path: str, text: str = "text", keys: Sequence[str]
         known = _words_of(path)
         for batch in batches:
             for part in _chunks(batch, len(keys)):
-                ids = known.encode(part.column(len(keys)).cast(pa.binary()).to_pylist(), end)
+                ids = known.encode(part.column(len(keys)), end)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(ids, pa.binary())], schema.names)
 
     return source.mapInArrow(run, schema)
