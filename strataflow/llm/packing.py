@@ -17,7 +17,6 @@ from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -32,9 +31,9 @@ from strataflow.llm.common import documents, small_batches
 VOCABULARY = "word_bpe_49k.json"
 #: The id that ends a document.
 END = 1
-#: Words and parts of words whose ids a Python worker remembers from task to task, apart
-#: from those of one chunk; a full memory starts anew.
-MEMORY_WORDS = 400_000
+#: Parts of words whose ids a Python worker remembers from task to task, apart from those
+#: of one chunk; a full memory starts anew.
+MEMORY_PARTS = 400_000
 #: Bytes of text a task tokenizes at once, unless one text alone has more.
 CHUNK_BYTES = 4 << 20
 #: Examples from which a task chooses; it packs when it holds so many, down to half.
@@ -286,10 +285,19 @@ def _words_of(path: str) -> "WordIds":
 
 #: Words whose parts are encoded each by itself: of printable ASCII without the apostrophe,
 #: which alone joins letters behind it, and accented Latin letters, without the beginning
-#: of a special token.
-_ACCENTED = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]"
-_SIMPLE = re.compile(rb"(?:(?!<\|)[!-&(-~]|" + _ACCENTED + rb")*")
-_PART = re.compile(rb"(?:[a-z]|" + _ACCENTED + rb")+|[0-9]|[!-/:-`{-~]+")
+#: of a special token. These letters are whole code points that nothing here combines with.
+_ACCENTED = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_SIMPLE = f"^[!-&(-~{_ACCENTED}]*$"
+_PART = f"([a-z{_ACCENTED}]+|[0-9]|[!-/:-`{{-~]+)"
+#: Parts that the model reads as they are: the steps before it change nothing.
+_AS_THEY_ARE = re.compile(rb"[!-@\[-~]+")
+
+
+def _spread(begins: np.ndarray, lengths: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Places of the elements of the lists ``which``, that begin and are as long as given."""
+    counts = lengths[which]
+    ends = np.cumsum(counts)
+    return np.repeat(begins[which] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class WordIds:
@@ -307,43 +315,38 @@ class WordIds:
     def encode(self, texts: pa.Array, end: int | None) -> list[bytes]:
         split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
         flat = split.flatten().dictionary_encode()
-        words = flat.dictionary.cast(pa.large_binary()).to_pylist()
-        self._learn(words)
-        ids = [self.memory[w] for w in words]
+        words = flat.dictionary
+        simple = pc.and_(pc.match_substring_regex(words, _SIMPLE), pc.invert(pc.match_substring(words, "<|")))
+        cut = pc.replace_substring_regex(pc.ascii_lower(words), _PART, r"\1 ")
+        listed = pc.split_pattern(pc.if_else(simple, cut, words), " ")  # words hold no space
+        parts = listed.flatten().dictionary_encode()
+        ids = self._ids(parts.dictionary.cast(pa.large_binary()).to_pylist())
         lengths = np.array([len(i) // 4 for i in ids], np.int64)
-        begins = np.cumsum(lengths) - lengths
-        places = flat.indices.to_numpy()
-        counts = lengths[places]
-        ends = np.cumsum(counts)
-        tokens = np.repeat(begins[places] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)
-        found = np.frombuffer(b"".join(ids), "<u4")[tokens].tobytes()
-        bounds = np.concatenate([[0], 4 * ends])[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
+        places = parts.indices.to_numpy()
+        tokens = np.frombuffer(b"".join(ids), "<u4")[_spread(np.cumsum(lengths) - lengths, lengths, places)]
+        # where the tokens of each word begin, then where those of each text do
+        begins = np.concatenate([[0], np.cumsum(lengths[places])])[listed.offsets.to_numpy()]
+        words_at = flat.indices.to_numpy()
+        found = tokens[_spread(begins[:-1], np.diff(begins), words_at)].tobytes()
+        bounds = 4 * np.concatenate([[0], np.cumsum(np.diff(begins)[words_at])])[split.offsets.to_numpy()]
         tail = b"" if end is None else end.to_bytes(4, "little")
-        return [found[a:b] + tail for a, b in zip(bounds[:-1], bounds[1:])]
+        return [found[a:b] + tail for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Remember the ids of ``words`` and of the parts of those that are simple."""
+    def _ids(self, parts: list[bytes]) -> list[bytes]:
         known = self.memory
-        new = [w for w in words if w not in known]
-        if len(known) + len(new) > MEMORY_WORDS:
+        new = [p for p in parts if p not in known]
+        if len(known) + len(new) > MEMORY_PARTS:
             known = self.memory = {}
-            new = words
-        parts = [_PART.findall(w.lower()) if _SIMPLE.fullmatch(w) else [w] for w in new]
-        self._ask([p for p in dict.fromkeys(chain.from_iterable(parts)) if p not in known])
-        for word, some in zip(new, parts):
-            if word not in known:
-                known[word] = b"".join([known[p] for p in some])
-
-    def _ask(self, parts: list[bytes]) -> None:
-        for start in range(0, len(parts), 10_000):
-            some = parts[start:start + 10_000]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)]
-            ends = np.cumsum([len(i) for i in found]) * 4
-            flat = np.fromiter(chain.from_iterable(found), "<u4", int(ends[-1]) // 4).tobytes()
-            at = 0
-            for part, to in zip(some, ends.tolist()):
-                self.memory[part] = flat[at:to]
-                at = to
+            new = parts
+        for part in new:
+            if _AS_THEY_ARE.fullmatch(part) and b"'" not in part and b"<|" not in part:
+                known[part] = np.array([t.id for t in self.tokenizer.model.tokenize(part.decode())], "<u4").tobytes()
+        rest = [p for p in new if p not in known]
+        for start in range(0, len(rest), 10_000):
+            some = rest[start:start + 10_000]
+            for part, found in zip(some, self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)):
+                known[part] = np.array(found.ids, "<u4").tobytes()
+        return [known[p] for p in parts]
 
 
 def _chunks(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:

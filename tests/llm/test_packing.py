@@ -68,7 +68,7 @@ def test_ids_of_odd_texts(spark, plain):
 
 
 def test_memory_does_not_change_ids(monkeypatch, plain):
-    monkeypatch.setattr(packing, "MEMORY_WORDS", 3)
+    monkeypatch.setattr(packing, "MEMORY_PARTS", 3)
     known = packing.WordIds(PATH)
     for text in ("one two three", "two four", "one two three four five"):
         assert np.frombuffer(known.encode(pa.array([text]), 1)[0], "<u4").tolist() == plain(text)
