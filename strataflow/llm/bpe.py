@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,6 +25,10 @@ CHUNK_BYTES = 5 << 18
 #: Words whose ids a Python worker remembers from task to task, in its database. A full
 #: memory starts anew; ids do not depend on it.
 MEMORY_WORDS = 700_000
+#: Words that one recursive query contracts; its state is what a worker's memory goes to.
+WORDS_PER_QUERY = 8_000
+#: Bytes above which a word is first cut into independent parts.
+LONG_WORD = 64
 
 _MERGE = """
 WITH RECURSIVE state(word, pos, token) USING KEY (word, pos) AS (
@@ -68,7 +74,10 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 @lru_cache(1)
 def codec_for(path: str, pattern: str) -> Codec:
-    """The worker's own codec; Spark gives the next task to the same Python worker."""
+    """The worker's own codec; Spark gives the next task to the same Python worker, whose
+    earlier tasks, of other stages, may have left memory that nothing uses."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
     return Codec(path, pattern)
 
 
@@ -83,12 +92,16 @@ class Codec:
         self.ranks = load_ranks(path)
         self.pattern = regex.compile(pattern)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
-        splits = [
-            (self.ranks[t[:i]], self.ranks[t[i:]], rank)
-            for t, rank in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks
-        ]
-        first, second, rank = (np.array(c, "i8") for c in zip(*splits))
-        self._table("merges", {"pair": pa.array((first << 32) + second), "rank": pa.array(rank.astype("i4"))})
+        pairs, made = array("q"), array("i")
+        for token, rank in self.ranks.items():
+            for i in range(1, len(token)):
+                if (first := self.ranks.get(token[:i])) is not None and (second := self.ranks.get(token[i:])) is not None:
+                    pairs.append((first << 32) + second)
+                    made.append(rank)
+        self._table("merges", {"pair": pa.array(np.frombuffer(pairs, "i8")), "rank": pa.array(np.frombuffer(made, "i4"))})
+        self.longest: dict[bytes, int] = {}  # token that begins with these two bytes
+        for token in self.ranks:
+            self.longest[token[:2]] = max(len(token), self.longest.get(token[:2], 0))
         self._table("vocabulary", {
             "token": pa.array(list(self.ranks.values()), pa.int32()), "hex": pa.array([t.hex() for t in self.ranks]),
         })
@@ -125,29 +138,58 @@ class Codec:
         ]
 
     def _learn(self, new: list[bytes]) -> None:
-        """Contract the bytes of each new word until no pair is left that makes a token.
+        """Remember the ids of each new word: of a token its own, of a long word those of
+        its independent parts, of the others what is left when no pair makes a token."""
+        self.known += len(new)
+        whole = [w for w in new if w in self.ranks]
+        self._remember(whole, [[self.ranks[w]] for w in whole])
+        short = [w for w in new if w not in self.ranks and len(w) <= LONG_WORD]
+        for start in range(0, len(short), WORDS_PER_QUERY):
+            self.db.execute(f"INSERT INTO memory {self._contracted(short[start:start + WORDS_PER_QUERY])}")
+        for word in (w for w in new if w not in self.ranks and len(w) > LONG_WORD):
+            parts = self._independent(word)
+            ids = {p: [self.ranks[p]] for p in parts if p in self.ranks}
+            rest = list(dict.fromkeys(p for p in parts if p not in ids))
+            for start in range(0, len(rest), WORDS_PER_QUERY):
+                ids |= self.db.execute(self._contracted(rest[start:start + WORDS_PER_QUERY])).fetchall()
+            self._remember([word], [[i for p in parts for i in ids[p]]])
+
+    def _remember(self, words: list[bytes], ids: list[list[int]]) -> None:
+        self._table("words", {"word": pa.array(words, pa.large_binary()), "ids": pa.array(ids, pa.list_(pa.int32()))})
+        self.db.execute("INSERT INTO memory FROM words")
+
+    def _contracted(self, words: list[bytes]) -> str:
+        """The query for the ids of words that are no tokens.
 
         A round contracts the pair of least rank in each word, leftmost first,
         at all of its places that do not overlap.
         """
-        self.known += len(new)
-        whole = [w for w in new if w in self.ranks]  # a token as it is
-        rest = [w for w in new if w not in self.ranks]
-        self._table("words", {
-            "word": pa.array(whole, pa.large_binary()), "ids": pa.array([[self.ranks[w]] for w in whole], pa.list_(pa.int32())),
-        })
-        self.db.execute("INSERT INTO memory FROM words")
-        if not rest:
-            return
-        lengths = np.array([len(w) for w in rest])
+        lengths = np.array([len(w) for w in words])
         ends = np.cumsum(lengths)
         self._table("start", {
-            "word": pa.array(np.repeat(np.arange(len(rest), dtype="i4"), lengths)),
+            "word": pa.array(np.repeat(np.arange(len(words), dtype="i4"), lengths)),
             "pos": pa.array((np.arange(ends[-1]) - np.repeat(ends - lengths, lengths)).astype("i4")),
-            "token": pa.array(self.byte[np.frombuffer(b"".join(rest), "u1")]),
+            "token": pa.array(self.byte[np.frombuffer(b"".join(words), "u1")]),
         })
-        self._table("words", {"number": pa.array(np.arange(len(rest), dtype="i4")), "word": pa.array(rest, pa.large_binary())})
-        self.db.execute(f"INSERT INTO memory SELECT w.word, m.ids FROM ({_MERGE}) m JOIN words w ON w.number = m.word")
+        self._table("words", {"number": pa.array(np.arange(len(words), dtype="i4")), "word": pa.array(words, pa.large_binary())})
+        return f"SELECT w.word, m.ids FROM ({_MERGE}) m JOIN words w ON w.number = m.word"
+
+    def _independent(self, word: bytes) -> list[bytes]:
+        """``word`` cut where no token that occurs in it reaches across: merges make tokens
+        only, so none joins what lies on both sides of such a place."""
+        parts, begin, reach = [], 0, 1
+        for at in range(len(word)):
+            if at >= reach:
+                parts.append(word[begin:at])
+                begin = reach = at
+            for size in range(self.longest.get(word[at:at + 2], 0), 1, -1):
+                if at + size <= reach:
+                    break
+                if at + size <= len(word) and word[at:at + size] in self.ranks:
+                    reach = at + size
+                    break
+            reach = max(reach, at + 1)
+        return [*parts, word[begin:]]
 
     def decode(self, encoded: list[bytes | None]) -> list[bytes | None]:
         """The bytes that each list of ids stands for."""

@@ -58,6 +58,17 @@ def test_odd_texts(spark, reference, monkeypatch):
             assert r.ids == reference.encode_ordinary(r.text) and bytes(r.decoded) == r.text.encode()
 
 
+def test_long_words(reference):
+    rng = random.Random(4)
+    codec = bpe.Codec(PATH, public_tokenizers.PATTERN)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = ["".join(rng.choice(letters) for _ in range(100_000)), "".join(rng.choice(letters + letters.upper()) for _ in range(30_000)),
+             "".join(rng.choice("äöüßéèñ一二三") for _ in range(3000)), "=" * 5000 + "-" * 777, "the" * 3000, "ACGT" * 400]
+    for text, ids in zip(texts, codec.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == reference.encode_ordinary(text)
+        assert b"".join(codec._independent(text.encode())) == text.encode()
+
+
 def test_memory_does_not_change_ids(monkeypatch, reference):
     monkeypatch.setattr(bpe, "MEMORY_WORDS", 3)
     codec = bpe.Codec(PATH, public_tokenizers.PATTERN)
