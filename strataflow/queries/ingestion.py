@@ -394,10 +394,10 @@ def copy_into_recreate(land: Landing) -> DataFrame:
 )
 def load_history(land: Landing) -> DataFrame:
     load = OrderLoad(land).arrive("orders_full").copy().arrive("orders_later").copy()
-    stored = land.spark.table(load.table.data).groupBy(F.col("load_id").alias("version")).agg(
+    stored = land.spark.table(load.table.data).groupBy("load_id").agg(
         F.countDistinct("_metadata.file_path").alias("files_stored")
     )
-    return load.table.load_history().join(stored, "version").select(
+    return load.table.load_history().join(stored, "load_id").select(
         "version", "rows_inserted", (F.col("files_written") == F.col("files_stored")).alias("counts_its_files")
     )
 

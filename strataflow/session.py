@@ -74,8 +74,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Delete a file or folder on whatever file system the path names."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    return target.getFileSystem(conf).delete(target, True)
+    target, system = _file_system(spark, path)
+    return system.delete(target, True)
+
+
+def create_file(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; false if there is one."""
+    target, system = _file_system(spark, path)
+    system.mkdirs(target.getParent())
+    return system.createNewFile(target)
+
+
+def list_folder(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
+    """Names in a folder that end so, none if there is no such folder."""
+    target, system = _file_system(spark, path)
+    if not system.exists(target):
+        return []
+    return [name for s in system.listStatus(target) if (name := s.getPath().getName()).endswith(suffix)]

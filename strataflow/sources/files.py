@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from functools import reduce
 from urllib import parse
 
@@ -19,6 +19,7 @@ SURPLUS_LINE = "_surplus_line"
 DIALECT = ("sep", "delimiter", "quote", "escape", "charToEscapeQuoteEscaping")
 
 ONE_PETABYTE = str(1 << 50)
+WHOLE_FILE = 1 << 20  # bytes up to which a file is read whole for its header
 
 
 def read_csv(
@@ -66,17 +67,27 @@ def listing_session(spark: SparkSession) -> SparkSession:
     return session
 
 
-def csv_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
-    """First line of each file, keyed by path; files without a line are absent.
+def csv_headers(spark: SparkSession, sizes: Mapping[str, int]) -> dict[str, str]:
+    """First line that is not blank of each file, keyed by path; files without one are absent.
 
-    One job for all paths, with a task per file that stops after its first line.
+    ``sizes`` gives the bytes of each path. Files of up to ``WHOLE_FILE`` are read by
+    one job, many a task, in the JVM; larger ones by another, with a task per file that
+    stops after that line.
     """
-    session = listing_session(spark)
-    session.conf.set("spark.sql.files.openCostInBytes", ONE_PETABYTE)  # no two files in one task
-    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    lines = session.read.text([literal(p) for p in paths]).select(F.col("_metadata.file_path").alias("path"), "value")
-    named = {_bare(p): p for p in paths}
-    found = lines.mapInArrow(_first_row, "path STRING, value STRING").collect()  # a line per listed path
+    small = [literal(p) for p, n in sizes.items() if n <= WHOLE_FILE]
+    large = [literal(p) for p, n in sizes.items() if n > WHOLE_FILE]
+    path, found = F.col("_metadata.file_path").alias("path"), []  # a line per file
+    if small:
+        whole = spark.read.text(small, wholetext=True)
+        line = F.regexp_extract("value", r"[^\r\n]*[^\s][^\r\n]*", 0).alias("value")
+        found += whole.select(path, line).filter("value <> ''").collect()
+    if large:
+        session = listing_session(spark)
+        session.conf.set("spark.sql.files.openCostInBytes", ONE_PETABYTE)  # no two files in one task
+        session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+        lines = session.read.text(large).select(path, "value").filter(r"value RLIKE '[^\\s]'")
+        found += lines.mapInArrow(_first_row, "path STRING, value STRING").collect()
+    named = {_bare(p): p for p in sizes}
     return {named[_bare(parse.unquote(row.path))]: row.value for row in found}
 
 
@@ -92,11 +103,14 @@ def _bare(path: str) -> str:
     return re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*:)?/*", "", path)
 
 
-def header_groups(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> dict[tuple[str, ...], list[str]]:
-    """Files grouped by their column names, in header order."""
+def header_groups(spark: SparkSession, sizes: Mapping[str, int], sep: str = ",") -> dict[tuple[str, ...], list[str]]:
+    """Files grouped by their column names, in header order. Blank lines before a header
+    do not count, as for Spark's reader; a file of blank lines only is in no group."""
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path, line in sorted(csv_headers(spark, paths).items()):
+    for path, line in sorted(csv_headers(spark, sizes).items()):
         names = tuple(next(csv.reader([line.lstrip("\ufeff")], delimiter=sep)))
+        if not all(name.strip() for name in names):
+            raise ValueError(f"the header of {path} leaves a column without a name: {line}")
         groups.setdefault(names, []).append(path)
     return groups
 

@@ -93,7 +93,7 @@ class AutoLoad:
             # Files count by path alone: by default Spark passes over those a week older than the newest.
             .option("maxFileAge", "36500d")
             .load(self.source)
-            .select("path")
+            .select("path", "length")
         )
         return (
             discovered.writeStream.option("checkpointLocation", self.checkpoint)
@@ -139,8 +139,8 @@ class AutoLoad:
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         if self.sink.exists() and batch_id <= self.sink.last_batch(query_id):
             return
-        paths = [r.path for r in batch.collect()]  # at most max_files
-        groups = files.header_groups(self.spark, paths, str(self.options.get("sep", ",")))
+        sizes = {r.path: r.length for r in batch.collect()}  # at most max_files
+        groups = files.header_groups(self.spark, sizes, str(self.options.get("sep", ",")))
         if not groups:
             return
         columns = self._resolve(groups)
@@ -148,7 +148,7 @@ class AutoLoad:
         typed = self._typed(text, columns)
         typed = add_audit(typed, self.source_system)
         self._match_sink(typed.schema)
-        self.sink.write(typed, STREAM, paths, {"batchId": str(batch_id), "queryId": query_id})
+        self.sink.write(typed, STREAM, list(sizes), {"batchId": str(batch_id), "queryId": query_id})
 
     def _resolve(self, groups: dict[tuple[str, ...], list[str]]) -> list[str]:
         stored = self.schema_log.latest()

@@ -30,7 +30,7 @@ def test_columns_bind_by_name_over_different_headers(spark, put, tmp_path):
     first = put("a.csv", 'id,kind\n1,click\n')
     second = put("b.csv", '"kind","device, os",id\nview,"ios, 9",2\n')
     empty = put("c.csv", "")
-    groups = files.header_groups(spark, [f"file:{p}" for p in (first, second, empty)])
+    groups = files.header_groups(spark, {f"file:{p}": 9 for p in (first, second, empty)})
     assert set(groups) == {("id", "kind"), ("kind", "device, os", "id")}
     found = files.read_csv_groups(spark, groups)
     assert rows(found, "id", "kind", "`device, os`", files.SOURCE_FILE) == [
