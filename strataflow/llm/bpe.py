@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import ctypes
 import gc
 import hashlib
 from array import array
@@ -78,6 +79,8 @@ def codec_for(path: str, pattern: str) -> Codec:
     earlier tasks, of other stages, may have left memory that nothing uses."""
     gc.collect()
     pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # GNU systems
+        trim(0)
     return Codec(path, pattern)
 
 
