@@ -27,7 +27,7 @@ CHUNK_BYTES = 5 << 18
 #: memory starts anew; ids do not depend on it.
 MEMORY_WORDS = 700_000
 #: Words that one recursive query contracts; its state is what a worker's memory goes to.
-WORDS_PER_QUERY = 8_000
+WORDS_PER_QUERY = 25_000
 #: Bytes above which a word is first cut into independent parts.
 LONG_WORD = 64
 
@@ -95,6 +95,8 @@ class Codec:
         self.ranks = load_ranks(path)
         self.pattern = regex.compile(pattern)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
+        for kind in ("allocator_flush_threshold", "allocator_bulk_deallocation_flush_threshold"):
+            self.db.execute(f"SET {kind} = '1MB'")  # what a query frees goes back to the system
         pairs, made = array("q"), array("i")
         for token, rank in self.ranks.items():
             for i in range(1, len(token)):
@@ -236,7 +238,7 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
     Memory is bounded by a chunk of text, or by the longest single text.
     """
     columns = [c for c in docs.columns if c != ids]
-    source = small_batches(docs.select(*columns))
+    source = small_batches(docs.select(*columns), "2m")
     schema = source.select("*", F.lit(None).cast("array<int>").alias(ids)).schema
     at = columns.index(text)
 
@@ -273,7 +275,7 @@ def encode_checked(docs: DataFrame, path: str, pattern: str = public_tokenizers.
     """``encode``, and a column ``round_trip``: whether the decoded ids are the text
     (null for a null text)."""
     columns = [c for c in docs.columns if c not in ("ids", "round_trip")]
-    source = small_batches(docs.select(*columns))
+    source = small_batches(docs.select(*columns), "2m")
     schema = source.select("*", F.lit(None).cast("array<int>").alias("ids"), F.lit(None).cast("boolean").alias("round_trip")).schema
     at = columns.index("text")
 
@@ -301,7 +303,7 @@ def _lists(encoded: list[bytes | None]) -> pa.Array:
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Encode and decode every text (null as empty) in one pass and keep their digests."""
-    source = small_batches(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    source = small_batches(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "2m")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_for(path, public_tokenizers.PATTERN)

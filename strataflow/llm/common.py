@@ -13,6 +13,9 @@ from strataflow.session import scratch_path
 #: Characters that separate words everywhere in this subpackage.
 SPACES = r"[\x20\x09-\x0D]+"
 
+#: Batch sizes that operators have set.
+BATCHES: set[str] = set()
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -29,13 +32,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(df: DataFrame) -> DataFrame:
-    """``df``, in a session that hands texts to Python in batches of 8 MB: Spark's
+def small_batches(df: DataFrame, size: str = "8m") -> DataFrame:
+    """``df``, in a session that hands texts to Python in batches of that size: Spark's
     default of 64 MB, held by the JVM and the worker, is much beside an executor's
     other memory. A session with a setting of its own keeps it."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if df.sparkSession.conf.get(key) == "67108864b":
-        df.sparkSession.conf.set(key, "8m")
+    if df.sparkSession.conf.get(key) in ("67108864b", *BATCHES):
+        BATCHES.add(size)
+        df.sparkSession.conf.set(key, size)
     return df
 
 
