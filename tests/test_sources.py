@@ -256,6 +256,37 @@ def test_federated_ranges_follow_the_rows(spark, crm):
     found = jdbc.read_federated(spark, "crmtest.APP.BUNCHED", ["K"], split_on="K", rows_per_range=200)
     assert rows(found) == sorted(data, key=lambda r: (r[0] is not None, r[0] or 0))
     assert max(sizes(found)) <= 200
+    assert found._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+    few = found.filter("K > 600").select("k")
+    assert "PushedFilters: [*IsNotNull(K), *GreaterThan(K,600)]" in few._jdf.queryExecution().executedPlan().toString()
+    assert rows(few) == [(10_000_000,)]
+
+
+def test_queries_for_ranges_follow_the_key_not_the_rows(spark, crm, monkeypatch):
+    # Crowds of neighbouring keys far apart from each other are all cut by the same few queries.
+    from pyspark.sql import DataFrameReader
+
+    asked = []
+    option = DataFrameReader.option
+
+    def counted(self, key, value):
+        asked.append(value)
+        return option(self, key, value)
+
+    queries = {}
+    for crowds in (2, 20):
+        data = [(c * 10**15 + i,) for c in range(crowds) for i in range(500)]
+        spark.createDataFrame(data, "K BIGINT").write.format("jdbc").options(**crm).option(
+            "dbtable", f"CROWDS{crowds}").mode("overwrite").save()
+        with monkeypatch.context() as patched:
+            patched.setattr(DataFrameReader, "option", counted)
+            ranges = jdbc.even_ranges(spark, crm, f"CROWDS{crowds}", "K", [], 100)
+        queries[crowds] = len(asked)
+        asked.clear()
+        found = jdbc.read_query(spark, crm, f"CROWDS{crowds}", ["K"], split_on="K", rows_per_range=100)
+        assert found.rdd.getNumPartitions() == len(ranges) >= crowds * 5
+        assert max(sizes(found)) <= 150 and rows(found) == data
+    assert queries[20] <= queries[2] <= 10
 
 
 def test_federated_scan_pushes_filter_columns_and_max(spark, crm):
@@ -263,10 +294,12 @@ def test_federated_scan_pushes_filter_columns_and_max(spark, crm):
     whole = jdbc.read_federated(spark, "crmtest.APP.CRM", ["ID", "NAME"], split_on="ID", rows_per_range=25)
     assert whole.rdd.getNumPartitions() == 4 and whole.count() == 100
     assert jdbc.read_federated(spark, "crmtest.APP.CRM", ["NAME"], split_on="ID").rdd.getNumPartitions() == 1
-    found = whole.filter("ID > 97")
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "PASSWORD_HASH" not in plan and "ID > 97" in plan.split("PushedFilters")[1]
-    assert rows(found.select("ID")) == [(98,), (99,)]
+    single = jdbc.read_federated(spark, "crmtest.APP.CRM", ["ID", "NAME"])
+    for source, pushed in ((single, "ID > 97"), (whole, "GreaterThan(ID,97)")):  # as each relation prints it
+        found = source.filter("ID > 97")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "PASSWORD_HASH" not in plan and pushed in plan.split("PushedFilters")[1]
+        assert rows(found.select("ID")) == [(98,), (99,)]
     top = spark.table("crmtest.APP.CRM").agg(F.max("ID"))
     assert "PushedAggregates: [MAX(ID)]" in top._jdf.queryExecution().executedPlan().toString()
 
