@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.operators.aggregates import high_watermark
@@ -41,14 +41,19 @@ def newer_than(
     whose ``keys`` the target already holds at that value.
     """
     watermark = high_watermark(target, column)
-    if watermark is None:
-        return source
+    return source if watermark is None else above(source, target, column, F.lit(watermark), inclusive, keys)
+
+
+def above(
+    source: DataFrame, target: DataFrame, column: str, watermark: Column, inclusive: bool, keys: list[str] | None
+) -> DataFrame:
+    """Source rows above a watermark, or from it on less those the target holds."""
     if not inclusive:
-        return source.filter(F.col(column) > F.lit(watermark))
+        return source.filter(F.col(column) > watermark)
     if not keys:
         raise ValueError("an inclusive extract needs the key columns")
-    held = target.filter(F.col(column) == F.lit(watermark)).select(*keys, column).distinct()
-    return source.filter(F.col(column) >= F.lit(watermark)).join(held, [*keys, column], "left_anti")
+    held = target.filter(F.col(column) == watermark).select(*keys, column).distinct()
+    return source.filter(F.col(column) >= watermark).join(held, [*keys, column], "left_anti")
 
 
 def describe(spark: SparkSession, table: str) -> DataFrame:

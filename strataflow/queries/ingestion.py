@@ -285,6 +285,19 @@ def watermark_extract(land: Landing) -> DataFrame:
     return land.spark.table(load_extract(land)).drop("ingestion_timestamp", "source_system")
 
 
+@query("watermark_kept", f"{EXTRACT} SELECT * FROM extract", DAYS)
+def watermark_kept(land: Landing) -> DataFrame:
+    """The same extract into a ledgered table, which keeps the watermark with its commits."""
+    name = land.new_table("crm_kept")
+    first = jdbc.read_federated(land.spark, federated(land, "source_day1"), BUSINESS, split_on="customer_id")
+    snapshot = add_audit(first, "crm", "snapshot")
+    table = LedgerTable(land.spark, name).create(snapshot.schema, watermark="modified_on")
+    table.write(snapshot)
+    second = jdbc.read_federated(land.spark, federated(land, "source_day2"), BUSINESS, split_on="customer_id")
+    table.write(add_audit(table.newer(second), "crm", "increment"))
+    return table.read().drop("ingestion_timestamp", "source_system")
+
+
 @query(
     "version_check",
     f"{EXTRACT} SELECT customer_id, COUNT(*) AS versions FROM extract GROUP BY customer_id HAVING COUNT(*) > 1",
