@@ -208,6 +208,81 @@ def test_a_lost_connection_is_transient(monkeypatch):
         assert paged.is_transient(status)
 
 
+NOW = 1792567620  # 2026-10-21 07:27 UTC
+
+
+@pytest.mark.parametrize("status, headers, wait", [
+    (429, {"Retry-After": "30"}, 30), (503, {"Retry-After": "0"}, 1), (429, {}, None),
+    (429, {"Retry-After": "Wed, 21 Oct 2026 07:28:00 GMT"}, 60),
+    (403, {"X-RateLimit-Remaining": "0", "X-RateLimit-Reset": str(NOW + 120)}, 120),
+    (403, {"X-RateLimit-Remaining": "7", "X-RateLimit-Reset": str(NOW + 120)}, None),
+    (403, {}, None), (404, {"Retry-After": "30"}, None), (429, {"Retry-After": "soon"}, None),
+])
+def test_the_wait_a_reply_asks_for(status, headers, wait):
+    assert paged.asked_wait(status, headers, NOW) == wait
+
+
+def test_an_asked_wait_is_no_failure():
+    replies, waits = [(429, "", 60.0)] * 5 + [(500, ""), (403, "", 9.0), (200, "[1]")], []
+    assert paged.fetch_page(lambda page: replies.pop(0), 0, attempts=2, sleep=waits.append) == "[1]"
+    assert waits == [60.0] * 5 + [1, 9.0]
+    with pytest.raises(paged.ApiError, match="more than 100"):
+        paged.fetch_page(lambda page: (429, "", 60.0), 0, sleep=waits.append, patience=100)
+
+
+def test_paced_calls_keep_their_distance():
+    now, calls = [100.0], []
+
+    def pause(seconds):
+        now[0] += seconds
+
+    paced = paged.Paced(lambda page: calls.append((page, now[0])), 2.0, lambda: now[0], pause)
+    for page in range(3):
+        paced(page)
+        now[0] += 0.5 if page else 5.0  # a slow reply needs no further wait
+    assert calls == [(0, 102.0), (1, 107.0), (2, 109.0)]
+
+
+def limited_api(folder, allowed):
+    """An API of 24 pages that refuses what is above an allowance each second."""
+    class Limited:
+        def pages(self):
+            return range(24)
+
+        def __call__(self, page):
+            import os
+            import time
+            import uuid
+
+            second = int(time.time())
+            log = f"{folder}/{second}"
+            os.makedirs(log, exist_ok=True)
+            name = f"{time.time_ns()}-{uuid.uuid4().hex}"
+            open(f"{log}/{name}", "w").close()
+            if len(os.listdir(log)) > allowed:
+                open(f"{folder}/refused-{name}", "w").close()
+                return 429, "", second + 1.05 - time.time()
+            return 200, f'[{{"id": {page}}}]'
+
+    return Limited()
+
+
+@pytest.mark.parametrize("budget", [None, 4 * 3600])
+def test_a_limited_api_is_read_whole(spark, tmp_path, budget):
+    api = limited_api(str(tmp_path), 5)
+    found = paged.read_pages(spark, api, schemas.contract("id BIGINT"), 3, calls_per_hour=budget)
+    assert rows(found) == [(i,) for i in range(24)]
+    refused = [f for f in os.listdir(tmp_path) if f.startswith("refused")]
+    assert bool(refused) == (budget is None)  # eight tasks at once, or four that share the rate
+    assert found.rdd.getNumPartitions() == (4 if budget else 8)
+
+
+def test_a_small_allowance_leaves_one_partition(tmp_path):
+    reader = paged._PagedReader(limited_api(str(tmp_path), 5), schemas.contract("id BIGINT"), 3, 3, 60, 1.0)
+    only, = reader.partitions()
+    assert len(only.pages) == 24 and only.interval == 60.0
+
+
 # Database
 
 @pytest.fixture(scope="module")
