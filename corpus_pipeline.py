@@ -34,8 +34,9 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the smallest doc_id. Copies
-    share 0.8 of their five-word shingles or more, after SimHash candidates."""
-    return simhash.keep_first(docs, simhash.near_copies(docs)).select(*COLUMNS)
+    are texts whose SimHash over three-word shingles differs in three bits or fewer,
+    and texts that such links reach."""
+    return simhash.keep_first(docs, simhash.simhash_components(docs)).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
