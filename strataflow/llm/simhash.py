@@ -139,11 +139,12 @@ def near_edges(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     shared = written(sizes.where("held AND n > 1").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "simhash-shared")
     found = written(keys.join(shared, "key"), "simhash-candidates")
     dealt = _dealt(found).withColumn("seed", F.floor(F.col("key") / SEED_KEYS).cast("int")).join(prints, ["id", "seed"])
-    parts = _grouped(dealt.withColumn("sketch", F.lit(None).cast("binary")))
+    columns = ("key", "left", "right", "stored", "id", "fp")
+    parts = dealt.select(*columns).repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple[np.ndarray, np.ndarray]] = []
-        for group, (stored, ids, fps, _) in _whole_groups(batches):
+        for group, (stored, ids, fps) in _whole_groups(batches):
             near = lambda x, y: (np.bitwise_count((fps[x] ^ fps[y]).view("u8")) <= radius) & (ids[x] != ids[y])
             x, y = _compare(group, stored, near)
             kept.append(forest(ids[x], ids[y]))
@@ -177,18 +178,11 @@ def _dealt(found: DataFrame) -> DataFrame:
     )
 
 
-def _grouped(dealt: DataFrame) -> DataFrame:
-    columns = ("key", "left", "right", "stored", "id", "fp", "sketch")
-    return dealt.select(*columns).repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
-
-
 def _whole_groups(batches: Iterator[pa.RecordBatch]):
     """Batches cut at group ends; a group has at most about two blocks of rows."""
     rest: list[np.ndarray] | None = None
     for batch in batches:
         columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
-        sketch = b"".join(x or b"" for x in batch.column(6).to_pylist())
-        columns.append(np.frombuffer(sketch, "u1").reshape(batch.num_rows, -1 if sketch else 0))
         if rest is not None:
             columns = [np.concatenate(pair) for pair in zip(rest, columns)]
         if not len(columns[0]):
@@ -224,229 +218,6 @@ def _compare(group, stored, good, most: int = 1 << 21):
     return np.concatenate(a), np.concatenate(b)
 
 
-# -- near copies by exact prefixes of shingles --------------------------------
-
-#: Bins of a document's sketch, a byte each; the standard error at a similarity of 0.8 is 0.029.
-BINS = 192
-#: Documents, about, whose shingles tell the common ones, and the most of those kept. Both
-#: only set the order of shingles: any order finds all pairs, this one in small groups.
-SAMPLE = 8192
-COMMON = 1 << 16
-EMPTY = 0xFF
-#: So far below the similarity a sketch passes a pair on: five standard errors.
-MARGIN = 0.15
-
-
-def sketch(hashes: np.ndarray) -> np.ndarray:
-    """One-permutation MinHash: a byte of the least hash in each bin."""
-    out = np.full(BINS, EMPTY, "u1")
-    ordered = np.sort(hashes)  # bins are equal ranges of the high half, in order
-    where = ((ordered >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(int)
-    first = np.flatnonzero(np.diff(where, prepend=-1))
-    out[where[first]] = ordered[first] % np.uint64(EMPTY)
-    return out
-
-
-def estimate(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Estimated Jaccard similarity of sketched sets, pair by pair."""
-    used = (left != EMPTY) | (right != EMPTY)
-    return ((left == right) & used).sum(1) / np.maximum(used.sum(1), 1)
-
-
-def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``(doc_id, component_id)`` of documents alike in ``similarity`` of their
-    five-word shingles or more.
-
-    Candidates come from an exact prefix filter. With all shingles in one order, two
-    sets of a Jaccard similarity of s share one of the first n - ceil(s n) + 1 of each,
-    so every pair shares a key. Shingles common in a sample come last in that order.
-    First each text of a key is compared with the key's least one; where a key then
-    still holds several components, all its pairs across them are compared. A sketch
-    with a margin drops pairs that are far apart; the shingles of the others decide.
-    Equal texts are one node, so all exact copies are linked. Null and empty texts are
-    equal. A null doc_id is never a component's name.
-    """
-    source = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    common = _common_shingles(source, shingle)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            texts = [words(t.as_py() or b"") for t in batch.column(1)]
-            hashes = [_xxh64(b" ".join(t)) for t in texts]
-            sizes, prints, keys = [], [], []
-            for tokens, text_hash in zip(texts, hashes):
-                grams = _shingles(tokens, shingle)
-                sizes.append(len(grams))
-                prints.append(sketch(grams).tobytes())
-                keys.append(None if text_hash in seen else _prefix(grams, common, similarity).view("i8"))
-                seen.add(text_hash)
-            yield pa.record_batch({
-                "doc_id": batch.column(0), "text_hash": pa.array(np.array(hashes, "u8").view("i8")),
-                "n": pa.array(sizes, pa.int32()), "sketch": pa.array(prints, pa.binary()), "keys": pa.array(keys, pa.list_(pa.int64())),
-            })
-
-    rows = written(source.mapInArrow(run, "doc_id bigint, text_hash bigint, n int, sketch binary, keys array<bigint>"), "near-copies")
-    nodes = written(
-        rows.groupBy("text_hash").agg(F.min("doc_id").alias("least"), F.min("sketch").alias("sketch"))
-        .withColumnRenamed("text_hash", "id"), "near-copies-nodes"
-    )
-    keys = rows.select(F.explode("keys").alias("key"), F.col("text_hash").alias("id"), "n")
-    held = keys.repartition("key").sortWithinPartitions("key", "id").mapInArrow(
-        _shared_keys(similarity), "key bigint, id bigint, least bigint, comparable boolean, several boolean"
-    )
-    held = written(held, "near-copies-keys")
-    first = held.where("comparable").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
-    links = _verified(_alike(first, nodes, similarity - MARGIN), source, shingle, similarity)
-    more = _across(held.where("several").select("key", "id"), connected_components(links), nodes, similarity - MARGIN)
-    roots = connected_components(links.unionByName(_verified(more, source, shingle, similarity)))
-    rooted = nodes.select("id", "least").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(names, "root").select(F.col("id").alias("text_hash"), "component_id")
-    return rows.select("doc_id", "text_hash").join(named, "text_hash").select("doc_id", "component_id")
-
-
-def _shingles(tokens: list[bytes], shingle: int) -> np.ndarray:
-    """Distinct hashes of the shingles, in order; a shorter text is one shingle."""
-    size = max(1, min(shingle, len(tokens)))
-    grams = map(b" ".join, zip(*(tokens[i:] for i in range(size))))
-    return np.unique(np.fromiter(map(_xxh64, grams), "u8"))
-
-
-def _common_shingles(source: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles met several times in a sample, in order of the hash, and how often."""
-    sample = source.where(F.pmod(F.xxhash64("text"), F.lit(max(1, source.count() // SAMPLE))) == 0)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column(1):
-                yield pa.record_batch({"gram": pa.array(_shingles(words(text.as_py() or b""), shingle).view("i8"))})
-
-    counts = sample.mapInArrow(run, "gram bigint").groupBy("gram").agg(F.count("*").alias("n")).where("n > 3")
-    top = counts.orderBy(F.desc("n"), "gram").limit(COMMON).toArrow()
-    grams, often = top["gram"].to_numpy().view("u8"), top["n"].to_numpy()
-    order = np.argsort(grams)
-    return grams[order], often[order]
-
-
-def _prefix(grams: np.ndarray, common: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
-    """The shingles, rarest first, of which one at least is shared by any set this alike."""
-    known, often = common
-    rank = np.zeros(len(grams), np.int64)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
-        rank = np.where(known[at] == grams, often[at], 0)
-    must = int(np.ceil(similarity * len(grams) - 1e-9))
-    return grams[np.lexsort((grams, rank))[:len(grams) - must + 1]]
-
-
-def _shared_keys(similarity: float):
-    """Rows ``(key, id, n)`` in order of key and id, each but the first id of a key with
-    that first one, whether sizes allow the similarity, and whether the key has others."""
-
-    def found(key, ids, n):
-        new = np.ones(len(key), bool)  # a text that several tasks read comes several times
-        new[1:] = (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])
-        key, ids, n = key[new], ids[new], n[new]
-        start = np.flatnonzero(np.diff(key, prepend=key[0] - 1) != 0)
-        size = np.diff(start, append=len(key))
-        head = np.repeat(start, size)
-        rest = head != np.arange(len(key))
-        fits = np.minimum(n, n[head]) >= similarity * np.maximum(n, n[head]) - 1e-9
-        return pa.record_batch({
-            "key": pa.array(key[rest]), "id": pa.array(ids[rest]), "least": pa.array(ids[head][rest]),
-            "comparable": pa.array(fits[rest]), "several": pa.array(np.repeat(size > 2, size)[rest]),
-        })
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = None
-        for batch in batches:
-            columns = [batch.column(i).to_numpy() for i in range(3)]
-            if kept is not None:
-                columns = [np.concatenate(pair) for pair in zip(kept, columns)]
-            if not len(columns[0]):
-                continue
-            last = int(np.searchsorted(columns[0], columns[0][-1]))
-            kept = [c[last:] for c in columns]
-            if last:
-                yield found(*(c[:last] for c in columns))
-        if kept is not None:
-            yield found(*kept)
-
-    return run
-
-
-def _alike(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """The ``pairs(a, b)`` whose sketches are that similar."""
-    for side in ("a", "b"):
-        pairs = pairs.join(nodes.select(F.col("id").alias(side), F.col("sketch").alias(f"sketch_{side}")), side)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "u1").reshape(-1, BINS) for i in (2, 3))
-            yield batch.select(["a", "b"]).filter(pa.array(estimate(left, right) >= similarity))
-
-    return pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, "a bigint, b bigint")
-
-
-def _verified(pairs: DataFrame, source: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The ``pairs(a, b)`` of text hashes whose sets of shingles have that Jaccard similarity."""
-    pairs = written(pairs, "near-copies-pairs")
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            hashes = [_xxh64(b" ".join(words(t.as_py() or b""))) for t in batch.column(0)]
-            new = [h not in seen and not seen.add(h) for h in hashes]
-            ids = pa.array(np.array(hashes, "u8").view("i8"))
-            yield pa.record_batch({"id": ids, "text": batch.column(0)}).filter(pa.array(new, pa.bool_()))
-
-    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [_shingles(words(t.as_py() or b""), shingle).tobytes() for t in batch.column(1)]
-            yield pa.record_batch({"id": batch.column(0), "grams": pa.array(sets, pa.binary())})
-
-    texts = source.select("text").mapInArrow(hashed, "id bigint, text binary").join(wanted, "id", "left_semi")
-    sets = texts.select("id", "text").mapInArrow(gathered, "id bigint, grams binary").groupBy("id").agg(F.min("grams").alias("grams"))
-    sets = written(sets, "near-copies-sets")
-    for side in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("grams").alias(f"grams_{side}")), side)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = [_jaccard(batch.column(2)[i].as_py(), batch.column(3)[i].as_py()) >= similarity for i in range(batch.num_rows)]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return written(pairs.select("a", "b", "grams_a", "grams_b").mapInArrow(run, "a bigint, b bigint"), "near-copies-links")
-
-
-def _jaccard(left: bytes, right: bytes) -> float:
-    a, b = np.frombuffer(left, "u8"), np.frombuffer(right, "u8")
-    shared = len(np.intersect1d(a, b, assume_unique=True))
-    return shared / max(1, len(a) + len(b) - shared)
-
-
-def _across(members: DataFrame, roots: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """Pairs ``(a, b)`` of ``members(key, id)`` of one key in different components
-    whose sketches are that similar."""
-    placed = members.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("fp", F.coalesce("root", "id")).drop("root")
-    sizes = placed.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("low"), F.max("fp").alias("high"))
-    parted = sizes.where("low <> high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = written(placed.join(parted, "key").withColumn("stored", F.lit(True)), "near-copies-across")
-    dealt = _dealt(rows).join(rows.select("id", "fp").distinct(), "id").join(nodes.select("id", "sketch"), "id")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group, (stored, ids, root, prints) in _whole_groups(batches):
-            x, y = _compare(group, stored, lambda x, y: (ids[x] < ids[y]) & (root[x] != root[y]))
-            for i in range(0, len(x), 4096):
-                p, q = x[i:i + 4096], y[i:i + 4096]
-                good = estimate(prints[p], prints[q]) >= similarity
-                yield pa.record_batch({"a": pa.array(ids[p[good]]), "b": pa.array(ids[q[good]])})
-
-    return _grouped(dealt).mapInArrow(run, "a bigint, b bigint").distinct()
-
-
 # -- operator ---------------------------------------------------------------
 
 
