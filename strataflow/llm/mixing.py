@@ -16,9 +16,9 @@ from strataflow.llm.common import documents, partitions, written
 
 #: Documents a block holds; the last one of a source may hold fewer.
 BLOCK = 16
-#: Slots of one round of the schedule; a target weight is a whole number of them.
+#: A round of the schedule is a multiple of so many slots; a target weight is a whole number of slots.
 FRAME = 1000
-#: Slots for each source where sources are more than the slots of ``FRAME``.
+#: Slots of a round for each source, at least.
 SLOTS = 10
 #: Columns that mixing adds.
 ADDED = ("block", "place", "slot", "release", "deadline", "share")
@@ -76,9 +76,8 @@ def mix(docs: DataFrame, targets: dict[str | None, int] | None = None, block: in
     source is a source. Inside a source rows come in the order of the MD5 of their
     doc_id (null as empty), then doc_id. The schedule repeats every ``frame`` slots,
     so a block's slot follows from its number and nothing is simulated over the
-    data. By default a frame has ``FRAME`` slots, or ``SLOTS`` for each source if there
-    are more than ``FRAME`` sources. One task makes the schedule of a frame, holding one
-    entry a source. Once a source has run out its slots stay empty and every other row keeps
+    data. By default a frame is the least multiple of ``FRAME`` with ``SLOTS`` slots for
+    each source. One task makes the schedule of a frame, holding one entry a source. Once a source has run out its slots stay empty and every other row keeps
     its slot: no row is dropped or repeated. Columns named as the added ones are
     replaced; an empty table gives no rows.
     """
@@ -94,7 +93,7 @@ def mix(docs: DataFrame, targets: dict[str | None, int] | None = None, block: in
     sizes = written(counts.groupBy("__mix_key").agg(F.sum("n").alias("n")), "mixing-sizes")
     sources = sizes.count()
     if frame is None:
-        frame = FRAME if sources <= FRAME else SLOTS * sources
+        frame = FRAME * -(-SLOTS * sources // FRAME)
     if sources > frame:
         raise ValueError(f"{sources} sources need a frame of at least as many slots, not {frame}")
     named = None if targets is None else {"" if k is None else f"={k}": w for k, w in targets.items()}
@@ -103,10 +102,9 @@ def mix(docs: DataFrame, targets: dict[str | None, int] | None = None, block: in
     numbered = rows.withColumn("__mix_row", F.row_number().over(order).cast("bigint")).join(offsets, ["__mix_key", "__mix_range"])
     number = F.col("__mix_row") + F.col("__mix_offset") - 1
     placed = numbered.withColumns({"block": F.floor(number / block), "place": number % block})
-    # a frame of the fixed size bounds these broadcasts; for a larger one Spark chooses
-    held = F.broadcast if frame <= FRAME else lambda df: df
-    turned = placed.join(held(plan.select("__mix_key", "share").distinct()), "__mix_key").withColumn("__mix_turn", F.col("block") % F.col("share"))
-    timed = turned.join(held(plan.drop("share")), ["__mix_key", "__mix_turn"])
+    # the plan is a written table, so Spark knows its size when it chooses these joins
+    turned = placed.join(plan.select("__mix_key", "share").distinct(), "__mix_key").withColumn("__mix_turn", F.col("block") % F.col("share"))
+    timed = turned.join(plan.drop("share"), ["__mix_key", "__mix_turn"])
     return timed.withColumns({
         "slot": F.floor(F.col("block") / F.col("share")) * frame + F.col("__mix_slot"),
         "release": F.floor(F.col("block") * frame / F.col("share")),
@@ -147,10 +145,11 @@ WITH RECURSIVE numbered AS (
     FROM documents
 ),
 sizes AS (SELECT key, floor(sqrt(count(*)))::BIGINT AS w FROM numbered GROUP BY key),
-totals AS (SELECT sum(w)::BIGINT AS total, {FRAME} - count(*) AS free FROM sizes),
+framed AS (SELECT {FRAME} * (({SLOTS} * count(*) + {FRAME} - 1) // {FRAME}) AS frame FROM sizes),
+totals AS (SELECT sum(w)::BIGINT AS total, any_value(frame) - count(*) AS free FROM sizes, framed),
 floors AS (SELECT key, 1 + free * w // total AS a, free * w % total AS r FROM sizes, totals),
 ranked AS (
-    SELECT key, a, row_number() OVER (ORDER BY r DESC, key) AS rank, {FRAME} - sum(a) OVER () AS missing FROM floors
+    SELECT key, a, row_number() OVER (ORDER BY r DESC, key) AS rank, frame - sum(a) OVER () AS missing FROM floors, framed
 ),
 given AS (SELECT key, (a + CASE WHEN rank <= missing THEN 1 ELSE 0 END)::BIGINT AS a FROM ranked),
 listed AS (SELECT list(a ORDER BY key) AS shares, list(key ORDER BY key) AS keys FROM given),
@@ -161,16 +160,16 @@ steps AS (
     FROM (
         SELECT slot + 1 AS slot, done, list_position(due, list_min(due)) AS chosen
         FROM (
-            SELECT slot, done, list_transform(done, lambda x, i: CASE WHEN x < shares[i] AND x * {FRAME} // shares[i] <= slot + 1
-                                              THEN ((x + 1) * {FRAME} + shares[i] - 1) // shares[i] END) AS due
-            FROM steps, listed WHERE slot + 1 < {FRAME}
+            SELECT slot, done, list_transform(done, lambda x, i: CASE WHEN x < shares[i] AND x * frame // shares[i] <= slot + 1
+                                              THEN ((x + 1) * frame + shares[i] - 1) // shares[i] END) AS due
+            FROM steps, listed, framed WHERE slot + 1 < frame
         )
     )
 ),
 plan AS (SELECT keys[chosen] AS key, turn, slot FROM steps, listed WHERE slot >= 0)
 SELECT n.doc_id, n.source, n.number // {BLOCK} AS block, n.number % {BLOCK} AS place,
-       n.number // {BLOCK} // g.a * {FRAME} + p.slot AS slot,
-       n.number // {BLOCK} * {FRAME} // g.a AS release,
-       ((n.number // {BLOCK} + 1) * {FRAME} + g.a - 1) // g.a AS deadline, g.a AS share
-FROM numbered n JOIN given g USING (key) JOIN plan p ON p.key = n.key AND p.turn = n.number // {BLOCK} % g.a
+       n.number // {BLOCK} // g.a * frame + p.slot AS slot,
+       n.number // {BLOCK} * frame // g.a AS release,
+       ((n.number // {BLOCK} + 1) * frame + g.a - 1) // g.a AS deadline, g.a AS share
+FROM numbered n JOIN given g USING (key) CROSS JOIN framed JOIN plan p ON p.key = n.key AND p.turn = n.number // {BLOCK} % g.a
 """

@@ -16,7 +16,7 @@ from strataflow.llm.common import documents, written
 CATEGORIES = (("low_quality", "quality = 0"), ("toxic", "toxic = 1"))
 #: Labelled rows the models are fitted on at most; the ones of least hash are taken.
 TRAIN_ROWS = 20_000
-VOCABULARY = 1 << 14
+#: Terms of fewer labelled rows are left out, whatever the size of the sample.
 MIN_DOCUMENTS = 3
 PREFIXES = (4, 5)
 FOLDS = 2
@@ -29,10 +29,7 @@ def terms(text: Column) -> Column:
     """Words in lower case, the beginnings of longer words, which catch inflections, and style."""
     text = F.coalesce(text, F.lit(""))
     found = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    starts = (
-        F.transform(F.filter(found, lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.lit("^"), F.substring(w, 1, n)))
-        for n in PREFIXES
-    )
+    starts = (_beginnings(found, n) for n in PREFIXES)
     # two marks of style, in steps: how much is not letters, and how few of the words are different ones
     length = F.greatest(F.length(text), F.lit(1))
     signs = F.floor(20 * F.length(F.regexp_replace(text, r"[\p{L}\s]+", "")) / length)
@@ -41,6 +38,12 @@ def terms(text: Column) -> Column:
     return F.concat(found, *starts, style)
 
 
+def _beginnings(found: Column, n: int) -> Column:
+    """The first ``n`` letters of each longer word, marked as such."""
+    longer = F.filter(found, lambda w: F.length(w) > n)
+    return F.transform(longer, lambda w: F.concat(F.lit("^"), F.substring(w, 1, n)))
+
+
 def _fit(rows: DataFrame, label: str, features: str):
     """A sparse logistic model, or the share of positives if only one class occurs."""
     total, positive = rows.agg(F.count("*"), F.coalesce(F.sum(label), F.lit(0.0))).first()
@@ -69,7 +72,7 @@ class Chain:
     """Fitted models, in chain order."""
 
     names: list[str]
-    vectorizer: object
+    vectorizer: CountVectorizerModel | None
     models: list
 
     def transform(self, docs: DataFrame) -> DataFrame:
@@ -117,10 +120,10 @@ def fit_chain(
     )
     if not rows.limit(1).count():
         return Chain(names, None, [])
-    least = MIN_DOCUMENTS if rows.count() >= 20 * MIN_DOCUMENTS else 1
     frequency = rows.select(F.explode(F.array_distinct("_terms")).alias("term")).groupBy("term").count()
-    top = frequency.where(F.col("count") >= least).orderBy(F.desc("count"), "term").limit(VOCABULARY).collect()
-    vectorizer = CountVectorizerModel.from_vocabulary([r.term for r in top], "_terms", "_features").setBinary(True)
+    # every such term of the bounded sample, and one that no text has, as a model needs a feature
+    known = frequency.where(F.col("count") >= MIN_DOCUMENTS).orderBy(F.desc("count"), "term").select("term").toArrow()["term"]
+    vectorizer = CountVectorizerModel.from_vocabulary([*known.to_pylist(), ""], "_terms", "_features").setBinary(True)
     # the sample is bounded, and with few partitions a step of the fit is one short stage
     rows = vectorizer.transform(rows).drop("_terms").repartition(4).persist()
     kept = [rows]

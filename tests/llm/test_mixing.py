@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from fractions import Fraction
 
+import duckdb
 import pytest
 
 from strataflow.llm import mixing
@@ -58,7 +59,7 @@ def test_empty_table_and_too_many_sources(spark):
         mixing.mix(spark.range(30).selectExpr("id AS doc_id", "string(id) AS source"), frame=20)
 
 
-def test_more_sources_than_the_fixed_frame_has_slots(spark):
+def test_many_sources_make_a_longer_frame(spark):
     docs = spark.range(6000).selectExpr("id AS doc_id", "IF(id < 2500, string(id % 1250), 'large') AS source")
     rows = mixing.mix(docs, block=4).collect()
     assert sorted(r.doc_id for r in rows) == list(range(6000))
@@ -67,5 +68,16 @@ def test_more_sources_than_the_fixed_frame_has_slots(spark):
         assert taken.setdefault(r.slot, (r.source, r.block)) == (r.source, r.block)
         assert r.release <= r.slot < r.deadline and 0 <= r.place < 4
     share = {r.source: r.share for r in rows}
-    assert len(share) == 1251 and sum(share.values()) == 12510
+    assert len(share) == 1251 and sum(share.values()) == 13_000
     assert share["large"] > 10 * max(v for k, v in share.items() if k != "large")
+
+
+def test_sql_of_more_sources_than_a_thousand(spark, tmp_path):
+    docs = spark.range(9000).selectExpr("id AS doc_id", "IF(id < 2200, string(id % 1100), 'large') AS source")
+    docs.write.parquet(str(tmp_path / "documents"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    cursor = con.execute(mixing.SQL)
+    names = [d[0] for d in cursor.description]
+    got = mixing.mix(docs).select(*names).collect()
+    assert max(r.slot for r in got) >= 1000 and Counter(map(tuple, got)) == Counter(cursor.fetchall())

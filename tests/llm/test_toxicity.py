@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import random
+import re
+
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strataflow.llm import toxicity
 from strataflow.llm.common import documents
@@ -37,3 +42,52 @@ def test_odd_tables(spark, labels):
     if len(labels) == 40:
         assert {r.doc_id for r in rows if r.toxic} >= set(range(5, 40, 2)) and not any(r.toxic for r in rows if r.doc_id in range(4, 40, 2))
     assert toxicity.toxic_documents(docs.limit(0), spark.createDataFrame(labels, LABELS)).count() == 0
+
+
+def plain_terms(text):
+    found = [w for w in re.split(r"[^a-z]+", text.lower()) if w]
+    signs, variety = 20 * len(re.sub(r"[a-z\s]+", "", text)) // len(text), 20 * len(set(found)) // len(found)
+    starts = {"^" + w[:n] for n in (4, 5) for w in found if len(w) > n}
+    return {*found, *starts, f"~signs {signs}", f"~variety {variety}"}
+
+
+def plain_fit(x, y, penalty):
+    """Logistic weights under an L1 penalty on standardised features, by proximal gradients."""
+    spread = x.std(0, ddof=1)
+    scale = np.where(spread > 0, 1 / np.where(spread > 0, spread, 1), 0)
+    z = (x - x.mean(0)) * scale
+    step = 4 / (np.linalg.norm(np.column_stack([z, np.ones(len(z))]), 2) ** 2 / len(z))
+    w = ahead = np.zeros(z.shape[1] + 1)
+    for k in range(20_000):
+        gap = 1 / (1 + np.exp(-(z @ ahead[:-1] + ahead[-1]))) - y
+        new = ahead - step * np.append(z.T @ gap, gap.sum()) / len(z)
+        new[:-1] = np.sign(new[:-1]) * np.maximum(np.abs(new[:-1]) - step * penalty, 0)
+        ahead, w = new + k / (k + 3) * (new - w), new
+    return lambda a: 1 / (1 + np.exp(-((a - x.mean(0)) * scale @ w[:-1] + w[-1])))
+
+
+def test_the_chain_against_plain_fits_out_of_fold(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "ITERATIONS", 2000)
+    monkeypatch.setattr(toxicity, "PENALTY", 0.01)
+    rng = random.Random(2)
+    vocabulary = [a + b for a in "bcdf" for b in ("ad", "el", "ix", "opped", "oppers")]
+    data, labels = [], []
+    for i in range(160):
+        found = rng.sample(vocabulary, 7)
+        low = rng.random() < (0.8 if "bad" in found else 0.2)
+        data.append((i, " ".join(found), "clash", 1))
+        labels.append((i, 0 if low else 1, int(rng.random() < (0.7 if low else 0.1) + 0.2 * ("fix" in found)), ""))
+    docs, held = spark.createDataFrame(data, DOCS), spark.createDataFrame(labels, LABELS)
+    rows = toxicity.fit_chain(docs, held).transform(docs).orderBy("doc_id").collect()
+    folds = np.array([r[0] for r in docs.orderBy("doc_id").select(F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(2))).collect()])
+    terms = sorted(set().union(*(plain_terms(d[1]) for d in data)))
+    x = np.array([[t in plain_terms(d[1]) for t in terms] for d in data], float)
+    low, toxic = (np.array([float(f(row)) for row in labels]) for f in (lambda r: r[1] == 0, lambda r: r[2] == 1))
+    first = plain_fit(x, low, 0.01)(x)
+    outside = np.zeros(len(x))
+    for fold in (0, 1):
+        outside[folds == fold] = plain_fit(x[folds != fold], low[folds != fold], 0.01)(x[folds == fold])
+    second = plain_fit(np.column_stack([x, outside]), toxic, 0.01)(np.column_stack([x, first]))
+    assert np.abs(np.array([r.p_low_quality for r in rows]) - first).max() < 0.01
+    assert np.abs(np.array([r.p_toxic for r in rows]) - second).max() < 0.01
+    assert first.std() > 0.1 and second.std() > 0.1  # both have learnt something
