@@ -16,6 +16,8 @@ from strataflow.llm.common import documents, written
 CATEGORIES = (("low_quality", "quality = 0"), ("toxic", "toxic = 1"))
 #: Labelled rows the models are fitted on at most; the ones of least hash are taken.
 TRAIN_ROWS = 20_000
+#: Terms a model knows at most, the most frequent ones of the labelled rows.
+VOCABULARY = 1 << 14
 #: Terms of fewer labelled rows are left out, whatever the size of the sample.
 MIN_DOCUMENTS = 3
 PREFIXES = (4, 5)
@@ -121,9 +123,9 @@ def fit_chain(
     if not rows.limit(1).count():
         return Chain(names, None, [])
     frequency = rows.select(F.explode(F.array_distinct("_terms")).alias("term")).groupBy("term").count()
-    # every such term of the bounded sample, and one that no text has, as a model needs a feature
-    known = frequency.where(F.col("count") >= MIN_DOCUMENTS).orderBy(F.desc("count"), "term").select("term").toArrow()["term"]
-    vectorizer = CountVectorizerModel.from_vocabulary([*known.to_pylist(), ""], "_terms", "_features").setBinary(True)
+    top = frequency.where(F.col("count") >= MIN_DOCUMENTS).orderBy(F.desc("count"), "term").limit(VOCABULARY).collect()
+    # and a term that no text has, as a model needs a feature
+    vectorizer = CountVectorizerModel.from_vocabulary([*(r.term for r in top), ""], "_terms", "_features").setBinary(True)
     # the sample is bounded, and with few partitions a step of the fit is one short stage
     rows = vectorizer.transform(rows).drop("_terms").repartition(4).persist()
     kept = [rows]
