@@ -7,6 +7,7 @@ import time
 import pytest
 
 from strataflow.plans.ledger import LedgerTable
+from strataflow.queries import landing
 from strataflow.session import delete_path
 from strataflow.streaming.autoload import AutoLoad, SinkSchemaError, UnknownFieldError
 from tests.conftest import rows
@@ -189,3 +190,20 @@ def test_a_line_with_more_fields_keeps_its_text(stream, put):
     assert found[1][:2] == (10, "click") and json.loads(found[1][2])["_line"] == "1,10,5,click,EXTRA,2"
     assert found[2] == (11, None, None)  # fewer fields are NULL
     assert found[3] == (12, "a,b", None)
+
+
+def test_surplus_files_follow_the_rows_not_the_ids(spark, tmp_path, monkeypatch):
+    sparse = spark.range(100).selectExpr("id * 970000 AS event_id", "'web' AS device", "CAST(NULL AS STRING) AS user_id")
+    landing.write_surplus(sparse, str(tmp_path / "few"))
+    assert len(list((tmp_path / "few").glob("span=*"))) == 1
+    lines = [f.read_text().splitlines() for f in (tmp_path / "few").glob("span=*/part-*")]
+    assert [found[0] for found in lines] == ["event_id,device,user_id"]
+    want = sorted(f"{i * 970000},web,extra" for i in range(100))
+    assert sorted(lines[0][1:]) == want
+    monkeypatch.setattr(landing, "SURPLUS_PER_FILE", 10)
+    landing.write_surplus(sparse, str(tmp_path / "more"))
+    lines = [f.read_text().splitlines() for f in (tmp_path / "more").glob("span=*/part-*")]
+    assert 2 <= len(lines) <= 10 and {found[0] for found in lines} == {"event_id,device,user_id"}
+    assert sorted(line for found in lines for line in found[1:]) == want
+    landing.write_surplus(sparse.limit(0), str(tmp_path / "none"))
+    assert not list((tmp_path / "none").glob("span=*"))
