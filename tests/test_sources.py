@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from strataflow import schemas
 from strataflow.functions.audit import add_audit, batch_label
 from strataflow.operators import shaping
+from strataflow.queries import landing
 from strataflow.session import shuffle_partitions
 from strataflow.sources import files, jdbc, paged, records
 from tests.conftest import rows
@@ -388,3 +390,33 @@ def test_sensitive_columns_do_not_land(spark, crm, name):
     assert spark.table(name).columns == ["ID", "NAME"]
     with pytest.raises(ValueError):
         shaping.allow_columns(source, ["ID", "password_hash"], denied=["PASSWORD_HASH"])
+
+
+def test_nested_orders_land_compressed_and_whole(spark, tmp_path, monkeypatch):
+    def put_table(name, sql):
+        spark.sql(sql).write.parquet(str(tmp_path / "in" / f"{name}.parquet"))
+
+    put_table("region", "SELECT 1 AS r_regionkey, 'EUROPE' AS r_name")
+    put_table("nation", "SELECT 1 AS n_nationkey, 'SPAIN' AS n_name, 1 AS n_regionkey")
+    put_table("customer", "SELECT 1L AS c_custkey, 'c' AS c_name, 1 AS c_nationkey, 'AUTO' AS c_mktsegment")
+    put_table("part", "SELECT id AS p_partkey, concat('part ', id) AS p_name, 'LARGE' AS p_type, id + 0.5D AS p_retailprice FROM range(5)")
+    put_table("orders", "SELECT id AS o_orderkey, 1L AS o_custkey, 'O' AS o_orderstatus, TIMESTAMP '2024-01-02 00:00:00' AS o_orderdate FROM range(401)")
+    # Each order has two suppliers, one of them with two lines; the last order has none.
+    put_table("lineitem", "SELECT id % 400 AS l_orderkey, id % 5 AS l_partkey, CAST(id / 800 AS BIGINT) AS l_suppkey, 3D AS l_quantity FROM range(1200)")
+    monkeypatch.setattr(landing, "DOCUMENTS_PER_FILE", 300)
+    land = landing.Landing(spark, str(tmp_path / "in"))
+    documents = landing.fold_orders(land)
+    folder = Path(land.nested_orders().removeprefix("file:"))
+    names = [f for f in folder.iterdir() if f.name.startswith("part-")]
+    assert all(f.name.endswith(".json.gz") for f in names) and len(names) >= 3
+    plain = documents.selectExpr("sum(length(to_json(struct(*)))) AS n").first().n
+    assert sum(f.stat().st_size for f in names) < plain / 4
+    found = land.json_orders().selectExpr("order_id", "supplier_id", "size(items) AS n", "customer.address.region")
+    assert rows(found) == sorted(
+        [(i, s, 2 - s, "EUROPE") for i in range(400) for s in (0, 1)] + [(400, None, None, "EUROPE")],
+        key=lambda r: (r[0], r[1] is not None, r[1]),
+    )
+    # No list is collected before the rows are dealt by order and supplier.
+    plan = documents._jdf.queryExecution().optimizedPlan().toString()
+    lists, dealt = plan.index("collect_list"), plan.index("RepartitionByExpression [l_orderkey")
+    assert lists < dealt
