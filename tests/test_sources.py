@@ -12,6 +12,8 @@ from strataflow import schemas
 from strataflow.functions.audit import add_audit, batch_label
 from strataflow.operators import shaping
 from strataflow.queries import landing
+from strataflow.queries.ingestion import jdbc_options
+from strataflow.queries.registry import QUERIES
 from strataflow.session import shuffle_partitions
 from strataflow.sources import files, jdbc, paged, records
 from tests.conftest import rows
@@ -392,6 +394,40 @@ def test_sensitive_columns_do_not_land(spark, crm, name):
         shaping.allow_columns(source, ["ID", "password_hash"], denied=["PASSWORD_HASH"])
 
 
+DATABASE_QUERIES = (
+    "column_allowlist", "federated_catalog_scan", "group_count_ranked", "jdbc_subquery_scan",
+    "version_check", "watermark_extract", "watermark_kept",
+)
+
+
+@pytest.mark.parametrize("key", DATABASE_QUERIES)
+@pytest.mark.parametrize("master", ["local-cluster[3,4,1024]", "yarn"])
+def test_database_queries_ask_for_a_reachable_database(spark, tmp_path, monkeypatch, key, master):
+    spark.sql(
+        "SELECT 1L AS c_custkey, 'ann' AS c_name, 'BUILDING' AS c_mktsegment, 9000.5D AS c_acctbal, 3 AS c_nationkey"
+    ).write.parquet(str(tmp_path / "customer.parquet"))
+    monkeypatch.setattr(spark.sparkContext, "master", master)
+    with pytest.raises(RuntimeError, match="spark.strataflow.jdbc.url"):
+        QUERIES[key](spark, str(tmp_path))
+
+
+def test_a_named_database_is_used_whatever_the_master(spark, tmp_path, monkeypatch):
+    land = landing.Landing(spark, str(tmp_path))
+    for master in ("local", "local[8]", "local[*]"):
+        monkeypatch.setattr(spark.sparkContext, "master", master)
+        assert jdbc_options(land)["url"].startswith("jdbc:derby:memory:")
+    named = {"url": "jdbc:some://host/crm", "driver": "some.Driver"}
+    for key, value in named.items():
+        spark.conf.set(f"spark.strataflow.jdbc.{key}", value)
+    try:
+        for master in ("local[8]", "local-cluster[3,4,1024]", "yarn"):
+            monkeypatch.setattr(spark.sparkContext, "master", master)
+            assert jdbc_options(land) == named
+    finally:
+        for key in named:
+            spark.conf.unset(f"spark.strataflow.jdbc.{key}")
+
+
 def test_nested_orders_land_compressed_and_whole(spark, tmp_path, monkeypatch):
     def put_table(name, sql):
         spark.sql(sql).write.parquet(str(tmp_path / "in" / f"{name}.parquet"))
