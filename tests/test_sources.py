@@ -428,6 +428,28 @@ def test_a_named_database_is_used_whatever_the_master(spark, tmp_path, monkeypat
             spark.conf.unset(f"spark.strataflow.jdbc.{key}")
 
 
+@pytest.mark.parametrize("key", sorted(set(DATABASE_QUERIES) - {"jdbc_subquery_scan"}))
+def test_federated_queries_read_the_schema_the_connection_writes_to(spark, tmp_path, key):
+    spark.sql(
+        "SELECT id AS c_custkey, concat('n', id) AS c_name, 'BUILDING' AS c_mktsegment, 8999.0D + id AS c_acctbal, "
+        "3 AS c_nationkey FROM range(2)"
+    ).write.parquet(str(tmp_path / "customer.parquet"))
+    own = spark.newSession()  # a session keeps the connection of a catalog it has used
+    own.conf.set("spark.strataflow.jdbc.url", "jdbc:derby:memory:schematest;create=true;user=crm;password=x")
+    own.conf.set("spark.strataflow.jdbc.schema", "CRM")
+    # Customer 1 was changed on day two.
+    both, extracted = [(0, "n0"), (1, "n1")], [(0, "snapshot"), (1, "increment"), (1, "snapshot")]
+    columns, want = {
+        "column_allowlist": (("customer_id", "name"), both),
+        "federated_catalog_scan": (("customer_id", "name"), both),
+        "group_count_ranked": (("batch_id", "customers"), [("increment", 1), ("snapshot", 2)]),
+        "version_check": (("customer_id", "versions"), [(1, 2)]),
+        "watermark_extract": (("customer_id", "batch_id"), extracted),
+        "watermark_kept": (("customer_id", "batch_id"), extracted),
+    }[key]
+    assert rows(QUERIES[key](own, str(tmp_path)), *columns) == want
+
+
 def test_nested_orders_land_compressed_and_whole(spark, tmp_path, monkeypatch):
     def put_table(name, sql):
         spark.sql(sql).write.parquet(str(tmp_path / "in" / f"{name}.parquet"))
